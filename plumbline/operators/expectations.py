@@ -101,11 +101,12 @@ class ValueExpectation(Expectation):
         field = self.field(df)
         if field is None or not self.accepts(field.dataType):
             return False
+        if self.row_condition is None:
+            return True
         try:
-            df.select(self.violated(), self._condition())
+            return isinstance(df.select(self._condition()).schema[0].dataType, T.BooleanType)
         except AnalysisException:
             return False
-        return True
 
     def _condition(self) -> Column:
         return F.lit(True) if self.row_condition is None else F.expr(self.row_condition)

@@ -9,6 +9,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +39,19 @@ def draw(
 
 def _predicted(model, rows: DataFrame, name: str) -> DataFrame:
     """Add a model's prediction and nothing else."""
-    model = model.copy().setPredictionCol(name)
     if isinstance(model, OneVsRestModel):
-        return model.setRawPredictionCol(f"{name}_raw").transform(rows).drop(f"{name}_raw")
-    return model.setRawPredictionCol("").setProbabilityCol("").transform(rows)
+        before = rows.columns
+        margins = []
+        for at, one in enumerate(model.models):
+            raw = f"{name}_{at}"
+            one = one.copy().setRawPredictionCol(raw).setProbabilityCol("").setPredictionCol("")
+            rows = one.transform(rows)
+            margins.append(vector_to_array(raw)[1])
+        every = F.array(*margins)
+        best = (F.array_position(every, F.array_max(every)) - 1).cast("double")
+        return rows.select(*before, best.alias(name))
+    model = model.copy().setPredictionCol(name).setRawPredictionCol("").setProbabilityCol("")
+    return model.transform(rows)
 
 
 def run_trials(

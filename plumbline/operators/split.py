@@ -6,14 +6,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.session import ensure_checkpoint_dir
 
-# Buckets of one counting pass: 2**16 counts at most reach the driver.
+# Buckets of one counting pass: 2**16 counts and one more at most reach the driver.
 _PASS_BITS = 16
+# A range of at most this many rows has its values read instead of counted.
+_READ_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -56,36 +59,74 @@ def _hash_level(df: DataFrame) -> _Level:
 
 @dataclass(frozen=True)
 class _Found:
-    """The value at a rank: ``None`` is NULL, which sorts first."""
+    """The value at a rank (``None`` is NULL, which sorts first) and where it stands."""
 
     value: int | None
     below: int
     equal: int
 
 
-def _value_at(df: DataFrame, level: _Level, rank: int) -> _Found:
-    """The ``rank``-th smallest value (from 1), by counting passes over ever narrower ranges."""
+@dataclass(frozen=True)
+class _Range:
+    """Rows whose value lies from ``low`` to ``high``, and how many rows come before them."""
+
+    low: int
+    high: int
+    below: int
+    size: int
+
+
+def _bounds(df: DataFrame, level: _Level) -> tuple[int, int, _Range]:
+    """Rows, rows without a value, and the range of all others."""
     seen = df.agg(
-        F.count_if(level.position.isNull()).alias("nulls"),
+        F.count(F.lit(1)).alias("n"),
+        F.count(level.position).alias("filled"),
         F.min(level.position).alias("low"),
         F.max(level.position).alias("high"),
     ).first()
-    if rank <= seen.nulls:
-        return _Found(None, 0, seen.nulls)
-    below, low, high = seen.nulls, seen.low, seen.high
-    while True:
-        shift = max(0, (high - low).bit_length() - _PASS_BITS)
-        bucket = F.shiftright(level.position, shift).alias("bucket")
-        counts = (
-            df.where(level.between(low, high)).groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).collect()
-        )
-        for row in sorted(counts, key=lambda r: r.bucket):
-            if below + row.n >= rank:
-                break
-            below += row.n
-        if shift == 0:
-            return _Found(row.bucket, below, row.n)
-        low, high = max(low, row.bucket << shift), min(high, ((row.bucket + 1) << shift) - 1)
+    nulls = seen.n - seen.filled
+    return seen.n, nulls, _Range(seen.low, seen.high, nulls, seen.filled)
+
+
+def _narrow(df: DataFrame, level: _Level, rank: int, around: _Range) -> _Range:
+    """One counting pass: the bucket of ``around`` that holds the row at ``rank``."""
+    shift = max(0, (around.high - around.low).bit_length() - _PASS_BITS)
+    counted = (
+        df.where(level.between(around.low, around.high))
+        .groupBy(F.shiftright(level.position, shift).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .toArrow()
+        .sort_by("bucket")
+    )
+    upto = around.below + np.cumsum(counted["n"].to_numpy())
+    at = int(np.searchsorted(upto, rank))
+    bucket, size = counted["bucket"][at].as_py(), counted["n"][at].as_py()
+    return _Range(
+        max(around.low, bucket << shift),
+        min(around.high, ((bucket + 1) << shift) - 1),
+        int(upto[at]) - size,
+        size,
+    )
+
+
+def _value_at(df: DataFrame, level: _Level, rank: int, bounds=None) -> _Found:
+    """The ``rank``-th smallest value (from 1): count ever narrower ranges, then read a small one."""
+    _, nulls, around = bounds or _bounds(df, level)
+    if rank <= nulls:
+        return _Found(None, 0, nulls)
+    while around.low < around.high and around.size > _READ_ROWS:
+        around = _narrow(df, level, rank, around)
+    if around.low == around.high:
+        return _Found(around.low, around.below, around.size)
+    values = np.sort(
+        df.where(level.between(around.low, around.high))
+        .select(level.position.alias("at"))
+        .toArrow()["at"]
+        .to_numpy()
+    )
+    value = int(values[rank - around.below - 1])
+    first, last = np.searchsorted(values, value, "left"), np.searchsorted(values, value, "right")
+    return _Found(value, around.below + int(first), int(last - first))
 
 
 def _is(level: _Level, found: _Found) -> Column:
@@ -111,7 +152,9 @@ def split_at_fraction(
     first.  Ties in the order are broken by a hash of the whole row; rows that are equal even
     then are copies, of which the right number is marked.
     """
-    count = df.count()
+    levels = [_level(df, name) for name in order] + [_hash_level(df)]
+    bounds = _bounds(df, levels[0])
+    count = bounds[0]
     rank = math.floor(count * fraction)
     if rank <= 0:
         return df.withColumn(flag, F.lit(False))
@@ -121,8 +164,9 @@ def split_at_fraction(
     marked = F.lit(False)
     tied = F.lit(True)
     rows, wanted = df, rank
-    for level in [_level(df, name) for name in order] + [_hash_level(df)]:
-        found = _value_at(rows, level, wanted)
+    for level in levels:
+        found = _value_at(rows, level, wanted, bounds)
+        bounds = None
         marked = marked | (tied & _before(level, found))
         here = _is(level, found)
         tied = tied & here

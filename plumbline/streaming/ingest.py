@@ -17,9 +17,11 @@ def spread_minutes(bronze: DataFrame, files_per_minute: int) -> DataFrame:
 
     Without it every task writes a file for every minute it holds.  The second key spreads
     one minute over several tasks, so that a minute holding much of a batch is not one task.
+    The number of tasks is named, because a batch of few bytes may still be many files.
     """
-    slot = F.pmod(F.xxhash64("user_id", "event_type", "event_timestamp", "value"), F.lit(files_per_minute))
-    return bronze.repartition("event_minute", slot)
+    tasks = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.xxhash64("user_id", "event_type", "event_timestamp", "value")
+    return bronze.repartition(tasks, "event_minute", F.pmod(row, F.lit(files_per_minute)))
 
 
 def start_ingest(
