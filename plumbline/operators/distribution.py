@@ -34,7 +34,10 @@ def value_counts(
     edges: Mapping[str, Sequence[float]],
     flag: str = "is_ref",
 ) -> DataFrame:
-    """Rows per (column, bucket, value) on either side; NULL, NaN and infinite values left out."""
+    """Rows per (column, bucket, value) on either side; NULL, NaN and infinite values left out.
+
+    Columns go by their place in ``columns``, which makes shorter shuffle keys than names.
+    """
     wide = df.select(
         F.col(flag).alias("_ref"),
         *[usable(as_number(name, df.schema[name].dataType)).alias(f"x{at}") for at, name in enumerate(columns)],
@@ -51,16 +54,18 @@ def value_counts(
     entries = F.array(
         *[
             F.struct(
-                F.lit(name).alias("column"),
+                F.lit(at).alias("column"),
                 (F.col(f"b{at}").cast("int") if at in cut else F.lit(0)).alias("bucket"),
                 F.col(f"x{at}").alias("x"),
             )
-            for at, name in enumerate(columns)
+            for at in range(len(columns))
         ]
     )
     return (
         wide.select("_ref", F.inline(entries))
-        .where(F.col("x").isNotNull())
+        # the bucket is never NULL beside a value; saying so keeps both uses of these counts
+        # (running sums and bucket totals) on one shuffle
+        .where(F.col("x").isNotNull() & F.col("bucket").isNotNull())
         .groupBy("column", "bucket", "x")
         .agg(F.count_if("_ref").alias("r"), F.count_if(~F.col("_ref")).alias("c"))
     )
@@ -134,8 +139,9 @@ def numeric_distances(
     found = _distances(value_counts(df, columns, edges, flag))
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     spread = F.greatest(F.col("ref_spread"), F.lit(least_spread))
+    names = F.array(*[F.lit(name) for name in columns])
     return found.select(
-        "column",
+        F.get(names, F.col("column")).alias("column"),
         F.when(both, F.col("gap")).alias("ks"),
         F.when(both, F.col("area") / spread).alias("wasserstein"),
         "n_ref",
@@ -151,7 +157,7 @@ def find_edges(
     wanted = edges_for(n_rows) if count is None else count
     if wanted == 0:
         return {}
-    facts = table_facts(df, columns, flag, wanted, n_rows)
+    facts = table_facts(df, columns, flag, wanted, n_rows, with_distinct=False)
     return {name: column.edges for name, column in facts.columns.items()}
 
 

@@ -13,9 +13,10 @@ NUMERIC, CATEGORICAL, TEXT = "num", "cat", "text"
 
 # Partial sketches merge in this many groups before the last merge.
 _MERGE_GROUPS = 256
-# Quantile sketches see about this many values per column; size of the sketch.
+# Quantile sketches see about this many values per column.
 _EDGE_VALUES = 20_000_000
-_SKETCH_SIZE = 8192
+# Columns of at most this many distinct values (by estimate) have them collected in one set.
+_SMALL_SET = 1000
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,7 @@ def table_facts(
     flag: str = "is_ref",
     edges_per_column: int = 0,
     n_rows: int = 0,
+    with_distinct: bool = True,
 ) -> TableFacts:
     """Side sizes, usable values per side, distinct estimates and value quantiles per column.
 
@@ -83,6 +85,8 @@ def table_facts(
     part of the values; everything else is counted over all rows.
     """
     edge_share = min(1.0, _EDGE_VALUES / max(n_rows, 1))
+    # an error of about half a bucket
+    sketch_size = min(8192, max(256, 8 * edges_per_column))
     fields = [df.schema[name] for name in columns]
     ref, cur = F.col(flag), ~F.col(flag)
     level_1: list[Column] = [F.count_if(ref).alias("n_ref"), F.count_if(cur).alias("n_cur")]
@@ -95,16 +99,19 @@ def table_facts(
         level_1 += [
             F.count(F.when(ref, value)).alias(f"ref_{at}"),
             F.count(F.when(cur, value)).alias(f"cur_{at}"),
-            F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value)), 14).alias(f"hll_{at}"),
         ]
         level_2 += [
             F.sum(f"ref_{at}").alias(f"ref_{at}"),
             F.sum(f"cur_{at}").alias(f"cur_{at}"),
-            F.hll_sketch_estimate(F.hll_union_agg(f"hll_{at}")).alias(f"distinct_{at}"),
         ]
+        if with_distinct:
+            hashed = F.when(value.isNotNull(), F.xxhash64(value))
+            level_1.append(F.hll_sketch_agg(hashed, 12).alias(f"hll_{at}"))
+            merged_sketch = F.hll_union_agg(f"hll_{at}")
+            level_2.append(F.hll_sketch_estimate(merged_sketch).alias(f"distinct_{at}"))
         if edges_per_column and at in numbers:
             seen = numbers[at] if edge_share == 1.0 else F.when(F.rand(at) < edge_share, numbers[at])
-            level_1.append(F.kll_sketch_agg_double(seen, _SKETCH_SIZE).alias(f"kll_{at}"))
+            level_1.append(F.kll_sketch_agg_double(seen, sketch_size).alias(f"kll_{at}"))
             level_2.append(F.kll_merge_agg_double(f"kll_{at}").alias(f"kll_{at}"))
     group = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group")
     merged = df.groupBy(group).agg(*level_1).agg(*level_2)
@@ -128,7 +135,7 @@ def table_facts(
             field.dataType,
             row[f"ref_{at}"] or 0,
             row[f"cur_{at}"] or 0,
-            row[f"distinct_{at}"] or 0,
+            (row[f"distinct_{at}"] or 0) if with_distinct else 0,
             tuple(sorted(set(edges or ()))),
         )
     return TableFacts(row["n_ref"] or 0, row["n_cur"] or 0, facts)
@@ -151,17 +158,21 @@ def settle_distinct(
 ) -> TableFacts:
     """Count distinct values exactly wherever the estimate does not settle role and test.
 
-    Those are columns of few values, which combine to few rows before the shuffle, and texts
-    close to the threshold.
+    Columns of few values collect them into one set per task; texts close to the threshold
+    are counted with a shuffle.
     """
     unsettled = [f for f in facts.columns.values() if not _settled(f, rules)]
     if not unsettled:
         return facts
-    values = [
-        usable(as_number(f.name, f.data_type)) if is_number(f.data_type) else F.col(f"`{f.name}`")
-        for f in unsettled
-    ]
-    counted = df.agg(*[F.count_distinct(v).alias(f"d_{at}") for at, v in enumerate(values)]).first()
+    counters = []
+    for at, column in enumerate(unsettled):
+        value = F.col(f"`{column.name}`")
+        if is_number(column.data_type):
+            value = usable(as_number(column.name, column.data_type))
+        few = column.distinct <= _SMALL_SET
+        counter = F.size(F.collect_set(value)).cast("bigint") if few else F.count_distinct(value)
+        counters.append(counter.alias(f"d_{at}"))
+    counted = df.agg(*counters).first()
     exact = {f.name: replace(f, distinct=counted[f"d_{at}"]) for at, f in enumerate(unsettled)}
     return replace(facts, columns=facts.columns | exact)
 

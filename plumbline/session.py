@@ -15,6 +15,8 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # recording the calling line of every column expression slows plan building
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
