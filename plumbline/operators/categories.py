@@ -6,22 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.tails import chi_square_p, normal_p
+from plumbline.operators.roles import usable
 
 
 def category_counts(df: DataFrame, columns: Sequence[str], flag: str = "is_ref") -> DataFrame:
-    """Rows per (column, category) on either side; NULLs left out.
+    """Rows per (column, category) on either side; NULL, NaN and infinite values left out.
 
     Counts combine before the shuffle, so a category that fills most of the table is one row
     per task.
     """
-    entries = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").cast("string").alias("category"))
-            for name in columns
-        ]
-    )
+
+    def category(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            value = usable(value)
+        return value.cast("string").alias("category")
+
+    entries = F.array(*[F.struct(F.lit(name).alias("column"), category(name)) for name in columns])
     return (
         df.select(F.col(flag).alias("_ref"), F.inline(entries))
         .where(F.col("category").isNotNull())

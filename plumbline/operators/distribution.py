@@ -21,11 +21,14 @@ from plumbline.operators.roles import as_number, table_facts, usable
 # Values per bucket that a running sum handles comfortably in one task.
 ROWS_PER_BUCKET = 200_000
 MAX_EDGES = 8191
+# Buckets of all columns together: the rows of the table of offsets that is broadcast.
+MAX_BUCKETS = 500_000
 
 
-def edges_for(n_rows: int) -> int:
-    """How many edges a table of this size needs."""
-    return min(MAX_EDGES, max(0, -(-n_rows // ROWS_PER_BUCKET) - 1))
+def edges_for(n_rows: int, n_columns: int) -> int:
+    """How many edges per column a table of this size needs."""
+    wanted = -(-n_rows // ROWS_PER_BUCKET) - 1
+    return max(0, min(wanted, MAX_EDGES, MAX_BUCKETS // max(n_columns, 1) - 1))
 
 
 def value_counts(
@@ -74,7 +77,7 @@ def value_counts(
 def _bucket_offsets(counts: DataFrame) -> DataFrame:
     """Per bucket: what all earlier buckets hold, where the next begins, and column totals.
 
-    At most ``MAX_EDGES + 1`` rows per column.
+    At most ``MAX_BUCKETS`` rows.
     """
     sizes = counts.groupBy("column", "bucket").agg(
         F.sum("r").alias("r"),
@@ -154,7 +157,7 @@ def find_edges(
 ) -> dict[str, tuple[float, ...]]:
     """Bucket edges per column: quantiles, as many as the table's size asks for."""
     n_rows = df.count()
-    wanted = edges_for(n_rows) if count is None else count
+    wanted = edges_for(n_rows, len(columns)) if count is None else count
     if wanted == 0:
         return {}
     facts = table_facts(df, columns, flag, wanted, n_rows, with_distinct=False)

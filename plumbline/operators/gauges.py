@@ -74,7 +74,7 @@ def latest_push(metrics: DataFrame) -> DataFrame:
     broadcast it when it is small or split a job that holds much of the log.
     """
     newest = metrics.groupBy("job").agg(F.max("run_time").alias("run_time"))
-    return metrics.join(newest, ["job", "run_time"], "left_semi")
+    return metrics.join(newest, ["job", "run_time"], "left_semi").select(*metrics.columns)
 
 
 def _escaped(text: Column, quotes: bool) -> Column:

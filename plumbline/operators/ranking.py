@@ -16,8 +16,9 @@ SMALL = 200_000
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, parts: int | None = None) -> DataFrame:
     """Position of each row in the order, from 0, without ordering the table in one task.
 
-    Rows go to ranges of the order, which are written out so that they stay as they are; a row's
-    position is its place in its range plus the sizes of the earlier ranges.
+    The order should tell rows apart: rows that are equal in it share a range.  Rows go to
+    ranges of the order, which are written out so that they stay as they are; a row's position
+    is its place in its range plus the sizes of the earlier ranges.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)

@@ -55,6 +55,10 @@ def is_time(kind: T.DataType) -> bool:
     return isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
+def can_be_tested(kind: T.DataType) -> bool:
+    return is_number(kind) or is_time(kind) or isinstance(kind, (T.StringType, T.BooleanType))
+
+
 def as_number(name: str, kind: T.DataType) -> Column:
     """The column as a double; timestamps as epoch seconds."""
     column = F.col(f"`{name}`")
@@ -79,6 +83,8 @@ def table_facts(
 ) -> TableFacts:
     """Side sizes, usable values per side, distinct estimates and value quantiles per column.
 
+    Columns of types that no test takes (arrays, maps, structs, bytes) are left out.
+
     Counters and sketches combine per task, then in groups of tasks, then once more, so that
     no single task merges one sketch per input split.  Quantiles serve as bucket edges, which
     never change a result, so on a table of more than ``_EDGE_VALUES`` rows they come from a
@@ -87,7 +93,7 @@ def table_facts(
     edge_share = min(1.0, _EDGE_VALUES / max(n_rows, 1))
     # an error of about half a bucket
     sketch_size = min(8192, max(256, 8 * edges_per_column))
-    fields = [df.schema[name] for name in columns]
+    fields = [df.schema[name] for name in columns if can_be_tested(df.schema[name].dataType)]
     ref, cur = F.col(flag), ~F.col(flag)
     level_1: list[Column] = [F.count_if(ref).alias("n_ref"), F.count_if(cur).alias("n_cur")]
     level_2: list[Column] = [F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")]

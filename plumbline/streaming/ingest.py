@@ -15,13 +15,14 @@ TRIGGER_INTERVAL = "15 seconds"
 def spread_minutes(bronze: DataFrame, files_per_minute: int) -> DataFrame:
     """Gather each minute into at most ``files_per_minute`` tasks before it is written.
 
-    Without it every task writes a file for every minute it holds.  The second key spreads
-    one minute over several tasks, so that a minute holding much of a batch is not one task.
-    The number of tasks is named, because a batch of few bytes may still be many files.
+    Without it every task writes a file for every minute it holds.  The second key deals the
+    rows of one minute out, so that a minute holding much of a batch is not one task, be its
+    rows copies of each other or not; seeded, a repeated task deals them out alike.  The number
+    of tasks is named, because a batch of few bytes may still be many files.
     """
     tasks = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row = F.xxhash64("user_id", "event_type", "event_timestamp", "value")
-    return bronze.repartition(tasks, "event_minute", F.pmod(row, F.lit(files_per_minute)))
+    dealt = bronze.withColumn("_turn", F.floor(F.rand(17) * files_per_minute))
+    return dealt.repartition(tasks, "event_minute", "_turn").drop("_turn")
 
 
 def start_ingest(

@@ -116,6 +116,17 @@ def test_unseen_category_gives_p_zero(spark):
     assert 0 < found.first().jensen_shannon <= math.sqrt(math.log(2))
 
 
+def test_unusable_numbers_are_no_categories(spark):
+    df = sides(spark, [1.0, 2.0, NAN, None], [1.0, INF, -INF, 1.0])
+    row = categories.category_measures(categories.category_counts(df, ["x"])).first()
+    assert (row.n_ref, row.n_cur, row.n_categories) == (2, 2, 2)
+
+
+def test_columns_without_a_test_are_left_out(spark):
+    df = spark.range(50).selectExpr("id % 2 = 0 as is_ref", "map('a', id) as m", "array(id) as a", "id % 3 = 0 as b")
+    assert [(r.column, r.kind) for r in drift_report(df, ["m", "a", "b"]).collect()] == [("b", "cat")]
+
+
 def test_single_category_and_empty_side_are_stable(spark):
     row = categories.two_valued_or_not(measures(spark, ["a"] * 5, ["a"] * 9)).first()
     assert (row.statistic, row.p_value) == (0.0, 1.0)

@@ -60,6 +60,16 @@ def test_gathered_minutes_are_few_files_and_the_same_rows(spark, places):
     assert 1 <= len(files) <= 2
 
 
+def test_copies_in_one_minute_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    from plumbline.streaming.ingest import spread_minutes
+
+    bronze = parse_events(spark.createDataFrame([(line("same", 1),)] * 400, "value string"))
+    held = spread_minutes(bronze, 8).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 400 and max(r["count"] for r in held) < 400
+
+
 def test_continuous_trigger_runs_until_stopped(spark, places):
     (places[0] / "a.txt").write_text(line("u", 1) + "\n")
     query = start_ingest(replay_events(spark, str(places[0])), places[1], places[2], interval="1 second")
