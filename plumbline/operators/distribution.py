@@ -19,7 +19,7 @@ from plumbline.functions.tails import kolmogorov_p
 from plumbline.operators.roles import as_number, table_facts, usable
 
 # Values per bucket that a running sum handles comfortably in one task.
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 50_000
 MAX_EDGES = 8191
 # Buckets of all columns together: the rows of the table of offsets that is broadcast.
 MAX_BUCKETS = 500_000

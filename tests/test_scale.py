@@ -84,7 +84,7 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
 
 def test_edges_stay_within_the_broadcast_bound():
     assert distribution.edges_for(100, 4) == 0
-    assert distribution.edges_for(1_000_000, 4) == 4
+    assert distribution.edges_for(1_000_000, 4) == 19
     assert distribution.edges_for(10**13, 1) == distribution.MAX_EDGES
     for n_columns in (1, 61, 62, 1000, 10**6):
         buckets = (distribution.edges_for(10**13, n_columns) + 1) * n_columns
