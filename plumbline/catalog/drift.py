@@ -294,6 +294,73 @@ def drift_report_lineitem(spark, sf_dir):
     return rounded(drift_report(lineitem_by_date(spark, sf_dir), columns))
 
 
+def _sql_full_report(sides: str, source: str, cats: list[str], nums: list[str]) -> str:
+    """Report rows whatever the size of the reference side: p-values up to 1000 rows, else distances."""
+    tests = f"""{_sql_long(source, cats, "cats", "VARCHAR")}, {_sql_shares("cats")}, {SQL_JS},
+    firsts AS (SELECT *, (r + c) / (n + m) AS both_ FROM shares s
+        WHERE x = (SELECT min(x) FROM cats v WHERE v.col = s.col)),
+    two AS (SELECT col, CASE WHEN both_ < 1 THEN (p - q) / sqrt(both_ * (1 - both_) * (1 / n + 1 / m)) ELSE 0 END AS z
+        FROM firsts),
+    many AS (SELECT col, count(*) AS k, bool_or(r = 0) AS unseen, sum(CASE WHEN r > 0
+        THEN pow(c - r * m / n, 2) / (r * m / n) END) AS x2 FROM shares GROUP BY 1),
+    cat_rows AS (SELECT js.col, n_ref, n_cur,
+        CASE WHEN n_ref > 1000 THEN 'jensen_shannon' WHEN k <= 2 THEN 'proportion_z' ELSE 'chi_square' END AS method,
+        CASE WHEN n_ref > 1000 THEN js WHEN k <= 2 THEN z WHEN unseen THEN 'inf'::DOUBLE ELSE x2 END AS statistic,
+        CASE WHEN n_ref > 1000 THEN NULL WHEN k > 2 AND unseen THEN 0.0
+            WHEN k <= 2 AND z = 0 THEN 1.0 WHEN k > 2 AND x2 = 0 THEN 1.0
+            WHEN k <= 2 THEN {_sql_gamma_tail("0.5", "(z * z / 2)")}
+            ELSE {_sql_gamma_tail("((k - 1) / 2)", "(x2 / 2)")} END AS p_value
+        FROM js JOIN two ON js.col = two.col JOIN many ON js.col = many.col)"""
+    method = "CASE WHEN n_ref > 1000 THEN '{large}' ELSE '{small}' END"
+    shape = """round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
+        CASE WHEN n_ref > 1000 THEN 0.1::DOUBLE ELSE 0.05::DOUBLE END AS threshold,
+        CASE WHEN n_ref > 1000 THEN statistic >= 0.1 ELSE p_value < 0.05 END AS drifted, n_ref, n_cur"""
+    rows = f"""SELECT col AS "column", 'cat' AS kind, method, {shape} FROM cat_rows"""
+    if nums:
+        tests += f""", {_sql_long(source, nums, "nums", "DOUBLE")}, {_sql_steps("nums").replace("counts", "num_counts")},
+    lam AS (SELECT *, (sqrt(n_ref * n_cur / (n_ref + n_cur)) + 0.12 + 0.11 / sqrt(n_ref * n_cur / (n_ref + n_cur)))
+        * d AS lambda_ FROM ks),
+    num_rows AS (SELECT lam.col, lam.n_ref, lam.n_cur, {method.format(large="wasserstein", small="ks")
+        .replace("n_ref", "lam.n_ref")} AS method,
+        CASE WHEN lam.n_ref > 1000 THEN w ELSE d END AS statistic,
+        CASE WHEN lam.n_ref <= 1000 THEN least(1.0, greatest(0.0, (SELECT sum(2 * CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END
+            * exp(-2.0 * k * k * lambda_ * lambda_)) FROM range(1, 101) t(k)))) END AS p_value
+        FROM lam JOIN w1 ON lam.col = w1.col)"""
+        rows += f""" UNION ALL SELECT col, 'num', method, {shape} FROM num_rows"""
+    return f"WITH {sides}, {tests} {rows}"
+
+
+SQL_DOCUMENT_HALVES = """halves AS (SELECT *,
+    row_number() OVER (ORDER BY doc_id) <= count(*) OVER () // 2 AS is_ref FROM documents)"""
+SQL_LABEL_HALVES = SQL_DOCUMENT_HALVES.replace("documents", "labels")
+
+
+@query(
+    "drift_report_document_facts",
+    _sql_full_report(SQL_DOCUMENT_HALVES, "halves", ["lang", "source"], ["n_chars"]),
+)
+def drift_report_document_facts(spark, sf_dir):
+    """Up to 2,000 documents have a small reference side, so tests with p-values."""
+    halves = split_at_fraction(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rounded(drift_report(halves, ["lang", "source", "n_chars"]))
+
+
+@query("drift_report_labels", _sql_full_report(SQL_LABEL_HALVES, "halves", ["quality", "toxic"], []))
+def drift_report_labels(spark, sf_dir):
+    """Two-valued numbers are categories; with a small reference side they take the proportion test."""
+    halves = split_at_fraction(table(spark, sf_dir, "labels"), ["doc_id"])
+    return rounded(drift_report(halves, ["quality", "toxic"]))
+
+
+@query(
+    "drift_report_orders",
+    _sql_full_report(SQL_ORDER_HALVES, "halves", ["o_orderstatus", "o_orderpriority"], ["o_totalprice", "o_custkey"]),
+)
+def drift_report_orders(spark, sf_dir):
+    columns = ["o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey"]
+    return rounded(drift_report(orders_in_halves(spark, sf_dir), columns))
+
+
 @query("drift_report_documents")
 def drift_report_documents(spark, sf_dir):
     """A table with all three kinds of columns."""

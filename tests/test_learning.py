@@ -29,7 +29,7 @@ def flowers(spark):
         for i in range(60):
             rows.append((len(rows), label, *(c + 0.15 * math.sin(i * (j + 3)) for j, c in enumerate(centre))))
     columns = ", ".join(f"`{n}` double" for n in NAMES)
-    return spark.createDataFrame(rows, f"id long, label double, {columns}")
+    return spark.createDataFrame(rows, f"id long, label double, {columns}").coalesce(1)
 
 
 @pytest.fixture(scope="module")
