@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,13 +88,11 @@ def assemble_features(spark, sf_dir):
 
 @query(
     "index_joined",
-    f"""WITH {SQL_INDEXES} SELECT event_id, CAST(u.index AS DOUBLE) AS user_id_index,
-    CAST(coalesce(q.index, (SELECT count(*) FROM clicked)) AS DOUBLE) AS click_user_index
-    FROM stg JOIN users u ON u.category = user_id
-    LEFT JOIN (SELECT * FROM clicked) q ON q.category = page""".replace(
-        "types AS (",
-        f"clicked AS ({_sql_ranks('page')} FROM stg WHERE event_type = 'click' AND page <> '/cart' GROUP BY 1), types AS (",
-    ).replace("click_user_index", "page_index"),
+    f"""WITH {SQL_INDEXES},
+    clicked AS ({_sql_ranks('page')} FROM stg WHERE event_type = 'click' AND page <> '/cart' GROUP BY 1)
+    SELECT event_id, CAST(u.index AS DOUBLE) AS user_id_index,
+    CAST(coalesce(q.index, (SELECT count(*) FROM clicked)) AS DOUBLE) AS page_index
+    FROM stg JOIN users u ON u.category = user_id LEFT JOIN clicked q ON q.category = page""",
 )
 def index_joined(spark, sf_dir):
     """Indexes by join; the second index knows only some of the pages it meets."""
@@ -109,11 +105,11 @@ def index_joined(spark, sf_dir):
     return indexed.select("event_id", "user_id_index", "page_index")
 
 
-def labelled_texts(spark, sf_dir, label: str = "quality") -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    joined = documents.join(labels, "doc_id")
-    return joined.withColumnRenamed(label, "label") if label == "quality" else joined
+def labelled_texts(spark, sf_dir) -> DataFrame:
+    """Documents that have a quality label, with it as the class."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return documents.join(labels, "doc_id")
 
 
 @query(

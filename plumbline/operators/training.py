@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import uuid
 from dataclasses import dataclass
 
@@ -115,7 +114,3 @@ def load_model(uri: str) -> PipelineModel:
 def input_example(df: DataFrame, key: str, columns: list[str], n: int = 5) -> DataFrame:
     """The first rows by key, as an example of what the model takes."""
     return df.orderBy(key).select(*columns).limit(n)
-
-
-def now() -> datetime.datetime:
-    return datetime.datetime.now(datetime.timezone.utc)
