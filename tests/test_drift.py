@@ -59,6 +59,19 @@ def test_distances_do_not_depend_on_partitions(spark, parts):
     assert measured(df, edges["x"]) == pytest.approx(brute(ref, cur), abs=1e-12)
 
 
+def test_edges_from_a_part_of_the_values_change_nothing(spark, monkeypatch):
+    from plumbline.operators import roles as roles_module
+
+    monkeypatch.setattr(roles_module, "_EDGE_VALUES", 150)
+    ref, cur = skewed(7, 900), skewed(8, 600)
+    df = sides(spark, ref, cur).repartition(6)
+    edges = distribution.find_edges(df, ["x"], count=12)
+    assert 2 < len(edges["x"]) <= 12
+    assert measured(df, edges["x"]) == pytest.approx(brute(ref, cur), abs=1e-12)
+    facts = table_facts(df, ["x"], edges_per_column=12, n_rows=1500)
+    assert (facts.columns["x"].n_ref, facts.columns["x"].n_cur) == (900, 600)
+
+
 def test_distances_are_symmetric_and_zero_on_equal_sides(spark):
     ref, cur = skewed(5, 200), skewed(6, 200)
     assert measured(sides(spark, ref, ref)) == (0.0, 0.0)
