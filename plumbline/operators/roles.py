@@ -94,6 +94,12 @@ def table_facts(
     # an error of about half a bucket
     sketch_size = min(8192, max(256, 8 * edges_per_column))
     fields = [df.schema[name] for name in columns if can_be_tested(df.schema[name].dataType)]
+    if edges_per_column and edge_share < 1.0:
+        df = df.withColumn("_draw", F.rand(11))
+
+    def in_sketch(number: Column) -> Column:
+        return number if edge_share == 1.0 else F.when(F.col("_draw") < edge_share, number)
+
     ref, cur = F.col(flag), ~F.col(flag)
     level_1: list[Column] = [F.count_if(ref).alias("n_ref"), F.count_if(cur).alias("n_cur")]
     level_2: list[Column] = [F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")]
@@ -116,8 +122,7 @@ def table_facts(
             merged_sketch = F.hll_union_agg(f"hll_{at}")
             level_2.append(F.hll_sketch_estimate(merged_sketch).alias(f"distinct_{at}"))
         if edges_per_column and at in numbers:
-            seen = numbers[at] if edge_share == 1.0 else F.when(F.rand(at) < edge_share, numbers[at])
-            level_1.append(F.kll_sketch_agg_double(seen, sketch_size).alias(f"kll_{at}"))
+            level_1.append(F.kll_sketch_agg_double(in_sketch(numbers[at]), sketch_size).alias(f"kll_{at}"))
             level_2.append(F.kll_merge_agg_double(f"kll_{at}").alias(f"kll_{at}"))
     group = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group")
     merged = df.groupBy(group).agg(*level_1).agg(*level_2)
