@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import jaccard_join
+from plumbline.llm import byte_bpe, jaccard_join
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,8 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 @query("op9_ngram_jaccard_join", OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_copies(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
