@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, jaccard_join
+from plumbline.llm import byte_bpe, jaccard_join, mixing
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op1_source_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
