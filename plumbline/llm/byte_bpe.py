@@ -26,7 +26,8 @@ from plumbline.llm.common import quoted, text_of, written
 #: Characters of a chunk besides its overlap, and of the overlap with the next chunk.
 CHUNK, OVERLAP = 32_768, 1_024
 _SURE = 4  # the longest contraction is three characters, and white space looks one ahead
-_ROWS = 256  # rows sent on at a time
+_ROWS = 256  # rows sent on at a time, or fewer if they hold more than _BYTES
+_BYTES = 1 << 20
 
 
 @functools.lru_cache(maxsize=4)
@@ -40,6 +41,14 @@ def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, as Python objects take much more room than columns."""
+    for batch in batches:
+        rows = max(1, min(_ROWS, int(_BYTES * len(batch) / max(1, batch.nbytes))))
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)
+
+
 def _boundaries(text: str, splitter: regex.Pattern, last: bool, a: int, b: int) -> list[int]:
     """Beginnings of pre-tokens in [a, b) that nothing after the text can move, after a character other than white space."""
     most = len(text) if last else len(text) - _SURE
@@ -67,7 +76,7 @@ def _edges(pattern: str, chunk: int, overlap: int):
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = regex.compile(pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for key, i, last, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 head = _boundaries(text[: 2 * overlap + _SURE], splitter, False, 1, overlap) if i else []
@@ -81,11 +90,9 @@ def _edges(pattern: str, chunk: int, overlap: int):
 def _whole(path: str, pattern: str, schema: pa.Schema):
     def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path, pattern)
-        for batch in batches:
-            for k in range(0, len(batch), _ROWS):
-                part = batch.slice(k, _ROWS)
-                ids = [own.encode_ordinary(text) for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+        for part in _slices(batches):
+            ids = [own.encode_ordinary(text) for text in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
 
     return encode_texts
 
@@ -98,11 +105,10 @@ def _pieces(path: str, pattern: str, chunk: int):
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path, pattern)
-        for batch in batches:
-            for k in range(0, len(batch), _ROWS):
-                c = [x.to_pylist() for x in batch.slice(k, _ROWS).columns]
-                ids = [own.encode_ordinary(t[a - i * chunk : None if b is None else b - i * chunk]) for i, t, a, b in zip(*c[1:], strict=True)]
-                yield _batch([c[0], c[1], ids], _PIECE)
+        for part in _slices(batches):
+            c = [x.to_pylist() for x in part.columns]
+            ids = [own.encode_ordinary(t[a - i * chunk : None if b is None else b - i * chunk]) for i, t, a, b in zip(*c[1:], strict=True)]
+            yield _batch([c[0], c[1], ids], _PIECE)
 
     return encode_pieces
 
@@ -168,7 +174,7 @@ def decode(tokens: DataFrame, ids_column: str, path: str, pattern: str) -> DataF
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             data = [own.decode_bytes(x or []) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([c for k, c in enumerate(batch.columns) if k != at] + [pa.array(data, pa.binary())], schema=schema)
 
