@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, jaccard_join, mixing
+from plumbline.llm import byte_bpe, jaccard_join, mixing, secrets
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_source_mixing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
