@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, jaccard_join, mixing, secrets, url_filter
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, secrets, url_filter
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_url_filter")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op7_imatch_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
