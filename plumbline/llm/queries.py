@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, secrets, url_filter
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, secrets, url_filter, warc
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_imatch_fingerprints")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+_HEX = "sha1(coalesce(html, ''))"
+_BITS = ", ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * group + 1}, 5) AS INTEGER) >> {shift}) & 31), 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+OP4 = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, {_HEX} AS h FROM pages),
+d AS (SELECT page_id, payload_bytes, concat({_BITS}) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to FROM m
+"""
+
+
+@query("op4_warc", OP4)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
