@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, secrets, topk, url_filter, warc
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, quality, secrets, topk, url_filter, warc
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 @query("op8_exact_top_k", OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

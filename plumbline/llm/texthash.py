@@ -18,6 +18,8 @@ _LONG = 1 << 16  # longer words are hashed one by one
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: A-Z as a-z and every other ASCII character that is neither letter nor digit as a blank.
+ALNUM = np.where((_LOWER < 128) & ~np.isin(_LOWER, np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", dtype=np.uint8)), 32, _LOWER).astype(np.uint8)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
@@ -46,9 +48,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Words:
     """Where the words of a run of texts lie, and their hashes."""
 
-    def __init__(self, data: np.ndarray, edges: np.ndarray):
-        """``data``: the bytes; ``edges``: where each text begins, and the end of the last."""
-        self.data = data = np.take(_LOWER, data)
+    def __init__(self, data: np.ndarray, edges: np.ndarray, table: np.ndarray = _LOWER):
+        """``data``: the bytes; ``edges``: where each text begins, and the end of the last; ``table``: what each byte counts as."""
+        self.raw, self.edges = data, edges
+        self.data = data = np.take(table, data)
         inner = ~np.take(_BLANK, data)
         opens = inner.copy()
         opens[1:] &= ~inner[:-1]
@@ -112,7 +115,7 @@ class Words:
         return out, edges
 
 
-def words_of(texts: pa.Array, most: int = 4 << 20):
+def words_of(texts: pa.Array, most: int = 4 << 20, table: np.ndarray = _LOWER):
     """Yields (first row, ``Words``) for runs of rows of about ``most`` bytes, or one longer row."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -126,5 +129,5 @@ def words_of(texts: pa.Array, most: int = 4 << 20):
     row = 0
     while row < len(texts):
         to = max(row + 1, int(np.searchsorted(edges, edges[row] + most, "right")) - 1)
-        yield row, Words(data[edges[row] : edges[to]], edges[row : to + 1] - edges[row])
+        yield row, Words(data[edges[row] : edges[to]], edges[row : to + 1] - edges[row], table)
         row = to
