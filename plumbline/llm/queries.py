@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, mixing, quality, secrets, topk, url_filter, warc
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, quality, secrets, topk, url_filter, warc
 from plumbline.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
