@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import kept, quoted, text_of
+from plumbline.llm.common import quoted, text_of, written
 
 # The kinds of secrets and their patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -187,7 +187,7 @@ def secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         _matches(F.col("_text"), f"(?<!{HEX[:-1]}){HEX[:-1]}{{{HEX_LEAST},}}+", 2, lambda v: F.length(v) >= HEX_LEAST),
     )
     tokens = _matches(F.col("_text"), TOKEN % TOKEN_LEAST, 3, lambda v: _encoding(v).isNotNull())
-    spans = kept(rows.select("doc_id", *carried, F.array_sort(base).alias("base"), tokens.alias("tokens")))
+    spans = written(rows.select("doc_id", *carried, F.array_sort(base).alias("base"), tokens.alias("tokens")), "spans")
 
     clear = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     scored = F.transform(
@@ -222,3 +222,28 @@ def report(docs: DataFrame) -> DataFrame:
 
     counts = [count(kind) for kind in range(3)]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+MASK = "[secret]"
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with every secret in ``text`` replaced by a mask, and ``n_chars`` to match.
+
+    Spans that overlap or touch become one mask.  Texts without secrets stay as they are, null ones too.
+    """
+    found = secrets(docs, carried=tuple(c for c in docs.columns if c != "doc_id"))
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
+
+    def step(state: Column, span: Column) -> Column:
+        apart = (span["start"] > state["end"]) | ((span["start"] == 0) & (state["out"] == ""))
+        gap = F.substring("text", (state["end"] + 1).cast("int"), (span["start"] - state["end"]).cast("int"))
+        out = F.when(apart, F.concat(state["out"], gap, F.lit(MASK))).otherwise(state["out"])
+        return F.struct(F.greatest(state["end"], span["end"]).alias("end"), out.alias("out"))
+
+    masked = F.aggregate("found", start, step, lambda s: F.concat(s["out"], F.substring("text", (s["end"] + 1).cast("int"), F.length("text"))))
+    has = F.size("found") > 0
+    found = found.withColumn("_masked", F.when(has, masked).otherwise(F.col("text"))).withColumn("_has", has)
+    chars = F.when(F.col("_has"), F.length("_masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("_masked"), "n_chars": chars}
+    return found.select(*[new.get(c, quoted(c)).alias(c) for c in docs.columns])
