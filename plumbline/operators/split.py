@@ -29,7 +29,7 @@ class _Level:
 
 
 def _level(df: DataFrame, name: str) -> _Level:
-    column = F.col(name)
+    column = F.col("`" + name.replace("`", "``") + "`")
     kind = df.schema[name].dataType
     if isinstance(kind, T.IntegralType):
         def between(low, high):
@@ -213,13 +213,27 @@ def side_sizes(df: DataFrame, flag: str = "is_ref") -> DataFrame:
     )
 
 
+# Hex digits of a digest that a share is compared with, as a number: fine enough for shares of 1e-15.
+SHARE_DIGITS = 15
+
+
+def share_bound(share: float) -> int:
+    """Digests below this number belong to the share."""
+    if not 0 <= share <= 1:
+        raise ValueError(f"a share lies between 0 and 1, not {share!r}")
+    return int(share * 16**SHARE_DIGITS)
+
+
 def in_share(key: Column, share: float, seed: int = 42) -> Column:
-    """Whether a key falls into a fixed share of all keys.
+    """Whether a key falls into a fixed share of all keys: none for 0, all for 1.
 
     Depends on key and seed only: not on partitions, file order or the other rows.
     """
-    digits = F.substring(F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed)))), 1, 4)
-    return digits < F.lit(format(int(share * 65536), "04x"))
+    bound = share_bound(share)
+    if share in (0, 1):
+        return F.lit(share == 1)
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, SHARE_DIGITS), 16, 10).cast("bigint") < F.lit(bound).cast("bigint")
 
 
 def train_test(
