@@ -104,6 +104,8 @@ class ValueExpectation(Expectation):
         if self.row_condition is None:
             return True
         try:
+            counters = self.counters()
+            df.agg(counters.elements, counters.missing, counters.unexpected).schema  # noqa: B018
             return isinstance(df.select(self._condition()).schema[0].dataType, T.BooleanType)
         except AnalysisException:
             return False
@@ -193,6 +195,8 @@ class Between(ValueExpectation):
             outside = outside | (self.value < F.lit(self.low))
         if self.high is not None:
             outside = outside | (self.value > F.lit(self.high))
-        if isinstance(self.low, float) or isinstance(self.high, float):
-            outside = outside | F.isnan(self.value)
+        numbers = (int, float, Decimal)
+        if any(isinstance(b, numbers) and not isinstance(b, bool) for b in (self.low, self.high)):
+            # by the column's values, whatever the kind of number of the bounds
+            outside = outside | F.isnan(self.value.cast("double"))
         return outside

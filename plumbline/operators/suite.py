@@ -7,6 +7,8 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from plumbline.operators.expectations import (
     NotNull,
     OfType,
     SchemaExpectation,
+    ValueExpectation,
 )
 
 BOOLEAN_ONLY = "BOOLEAN_ONLY"
@@ -71,12 +74,41 @@ def _within(tolerance: float, considered: Column, unexpected: Column) -> Column:
     return (considered == 0) | (share >= F.lit(tolerance))
 
 
+def _conditioned(df: DataFrame, suite: Suite) -> dict[int, list[Column]]:
+    """The counters of the checks with row conditions, by their place in the suite."""
+    out = {}
+    for ordinal, check in enumerate(suite.expectations):
+        if isinstance(check, ValueExpectation) and check.row_condition is not None and check.evaluable(df):
+            counters = check.counters()
+            out[ordinal] = [counters.elements, counters.missing, counters.unexpected]
+    return out
+
+
+def _refused(df: DataFrame, suite: Suite) -> frozenset[int]:
+    """The checks whose row condition fails on some row."""
+    checks = _conditioned(df, suite)
+
+    def works(columns: list[Column]) -> bool:
+        try:
+            df.agg(*columns).collect()
+        except (PySparkException, Py4JJavaError):
+            return False
+        return True
+
+    if works([c for columns in checks.values() for c in columns]):
+        return frozenset()
+    return frozenset(ordinal for ordinal, columns in checks.items() if not works(columns))
+
+
 def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
     """One result row per check, in suite order.
 
     A check that cannot be evaluated (no such column, or bounds of another type) fails and
-    has no counts; it is left out of the aggregate, so it cannot stop the other checks.
+    has no counts; it is left out of the aggregate, so it cannot stop the other checks.  A row
+    condition may also fail on some row's value.  So a suite with row conditions is counted at once, and
+    if that fails, each of its conditions is tried by itself, and those that fail are left out.
     """
+    refused = _refused(df, suite) if _conditioned(df, suite) else frozenset()
     aggregates: dict[str, Column] = {"rows": F.count(F.lit(1))}
     rows: list[Column] = []
     for ordinal, check in enumerate(suite.expectations):
@@ -85,7 +117,7 @@ def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
         if isinstance(check, SchemaExpectation):
             elements = F.col("rows")
             success = F.lit(check.holds(df))
-        elif check.evaluable(df):
+        elif ordinal not in refused and check.evaluable(df):
             counters = check.counters()
             for part in ("elements", "missing", "unexpected", "considered"):
                 aggregates[f"{part}_{ordinal}"] = getattr(counters, part)

@@ -134,3 +134,26 @@ def test_profile(frame):
     assert [(r.column, r.data_type, r.row_count, r.non_null_count) for r in rows] == [
         ("kind", "string", 8, 7), ("x", "double", 8, 7),
     ]
+
+
+def test_a_row_condition_that_fails_on_a_row_fails_alone(spark):
+    df = spark.createDataFrame([("7", 1.0), ("x", 2.0)], "u string, v double")
+    suite = Suite(
+        "s",
+        (
+            NotNull("v", row_condition="CAST(u AS INT) > 5"),
+            NotNull("v", row_condition="count(*) > 1"),
+            NotNull("v", row_condition="u = '7'"),
+            Between("v", low=1),
+        ),
+    )
+    rows = run_suite(df, suite, Run.starting(datetime.datetime(2024, 1, 1))).orderBy("ordinal").collect()
+    assert [r.success for r in rows] == [False, False, True, True]
+    assert [r.element_count for r in rows] == [None, None, 1, 2]
+
+
+@pytest.mark.parametrize("bounds", [{"low": 5}, {"low": 5.0}, {"high": 9}, {"low": 1, "high": 9.0}])
+def test_nan_lies_outside_whatever_the_kind_of_the_bounds(spark, bounds):
+    df = spark.createDataFrame([(6.0,), (float("nan"),), (None,)], "v double")
+    row = run_suite(df, Suite("s", (Between("v", **bounds),)), Run.starting(datetime.datetime(2024, 1, 1))).first()
+    assert (row.unexpected_count, row.missing_count, row.success) == (1, 1, False)
