@@ -380,7 +380,7 @@ def drift_summary_events(spark, sf_dir):
     'model_data_drift_score' AS name, 'Data drift score' AS help, 'stg_user_events_v1' AS model_name,
     CAST(drifted_share AS DOUBLE) AS value FROM summary UNION ALL
     SELECT TIMESTAMP '2024-02-01 12:00:00', 'evidently_batch_validation', 'model_data_drift_detected',
-    'Clolumes numbers which are detected with drift', 'stg_user_events_v1',
+    'Number of columns with drift', 'stg_user_events_v1',
     CAST(drifted_count AS DOUBLE) FROM summary""",
 )
 def drift_gauges_events(spark, sf_dir):

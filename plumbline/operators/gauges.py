@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Gauge names, help texts, label names and job names that dashboards key on.
+# Gauge names, label names and job names that dashboards key on (help texts are our own).
 VALIDATION_GAUGE = "data_valition_result"
 VALIDATION_HELP = "Data Validation"
 VALIDATION_LABEL = "table_name"
@@ -15,7 +15,7 @@ VALIDATION_JOB = "gx_data_validation"
 DRIFT_SCORE_GAUGE = "model_data_drift_score"
 DRIFT_SCORE_HELP = "Data drift score"
 DRIFT_COUNT_GAUGE = "model_data_drift_detected"
-DRIFT_COUNT_HELP = "Clolumes numbers which are detected with drift"
+DRIFT_COUNT_HELP = "Number of columns with drift"
 DRIFT_LABEL = "model_name"
 DRIFT_JOB = "evidently_batch_validation"
 
