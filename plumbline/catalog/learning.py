@@ -11,7 +11,14 @@ from plumbline.operators import features, ranking, registry, scoring, search, tr
 from plumbline.operators.split import in_share, sampled, train_test
 from plumbline.sources.tables import reused
 
-SQL_TEST = "substr(md5({key} || '42'), 1, 4) < '3333'"
+
+
+def sql_share(key: str, share: float, seed: int = 42) -> str:
+    """The share of keys whose digest, as a number, is below the share of all numbers."""
+    return f"CAST('0x' || substr(md5({key} || '{seed}'), 1, 15) AS BIGINT) < {int(share * 16**15)}"
+
+
+SQL_TEST = sql_share("{key}", 0.2)
 
 
 @query(
@@ -26,7 +33,9 @@ def split_hash_80_20(spark, sf_dir):
 @query(
     "sample_by_key",
     """SELECT l_orderkey, count(*) AS n_lines, round(sum(l_extendedprice), 2) AS total FROM lineitem
-    WHERE substr(md5(CAST(l_orderkey AS VARCHAR) || '7'), 1, 4) < '1999' GROUP BY 1""",
+    WHERE """
+    + sql_share("CAST(l_orderkey AS VARCHAR)", 0.1, 7)
+    + " GROUP BY 1",
 )
 def sample_by_key(spark, sf_dir):
     """A tenth of the orders with all their lines."""
@@ -36,6 +45,33 @@ def sample_by_key(spark, sf_dir):
     )
 
 
+SHARES = (0.0, 0.00001, 0.1, 0.2, 1.0)
+
+
+@query(
+    "sample_shares",
+    " UNION ALL ".join(
+        f"SELECT CAST({share!r} AS DOUBLE) AS share, count(*) FILTER (WHERE {sql_share('k', share)}) AS n_rows, "
+        f"count(DISTINCT k) FILTER (WHERE {sql_share('k', share)}) AS n_keys "
+        "FROM (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem)"
+        for share in SHARES
+    ),
+)
+def sample_shares(spark, sf_dir):
+    """How many rows and keys of a table fall into shares from none to all."""
+    lines = table(spark, sf_dir, "lineitem")
+    inside = [(share, in_share(F.col("l_orderkey"), share)) for share in SHARES]
+    counts = lines.agg(
+        *[F.count_if(held).alias(f"rows_{k}") for k, (_, held) in enumerate(inside)],
+        *[F.count_distinct(F.when(held, F.col("l_orderkey"))).alias(f"keys_{k}") for k, (_, held) in enumerate(inside)],
+    )
+    rows = [
+        F.struct(F.lit(share).alias("share"), F.col(f"rows_{k}").alias("n_rows"), F.col(f"keys_{k}").alias("n_keys"))
+        for k, (share, _) in enumerate(inside)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _sql_ranks(column: str) -> str:
     return f"""SELECT CAST({column} AS VARCHAR) AS category, count(*) AS n_rows,
     row_number() OVER (ORDER BY count(*) DESC, CAST({column} AS VARCHAR)) - 1 AS index"""
@@ -60,12 +96,29 @@ SQL_INDEXES = f"""{SQL_V1},
 
 def _assembled(spark, sf_dir) -> DataFrame:
     staged = staged_v1(table(spark, sf_dir, "events")).fillna(0.0, ["purchase_value"])
+    columns = ["user_id", "page"]
+    indexed = features.index_categories(staged, columns, features.category_table(staged, columns))
     stages = [
         features.label_indexer("event_type"),
-        *features.category_indexers(staged, ["user_id", "page"]),
         features.assembler(["user_id_index", "page_index", "purchase_value"]),
     ]
-    return features.fit_features(stages, staged).transform(staged)
+    return features.fit_features(stages, indexed).transform(indexed)
+
+
+@query(
+    "assemble_many_categories",
+    f"""WITH keys AS ({_sql_ranks('l_orderkey')} FROM lineitem GROUP BY 1)
+    SELECT l_orderkey, l_linenumber, CAST(index AS DOUBLE) AS l_orderkey_index, l_quantity
+    FROM lineitem JOIN keys ON category = CAST(l_orderkey AS VARCHAR)""",
+)
+def assemble_many_categories(spark, sf_dir):
+    """A feature column with as many categories as there are orders."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    indexed = features.index_categories(lines, ["l_orderkey"], features.category_table(lines, ["l_orderkey"]))
+    parts = vector_to_array("features")
+    return features.assembler(["l_orderkey_index", "l_quantity"]).transform(indexed).select(
+        "l_orderkey", "l_linenumber", parts[0].alias("l_orderkey_index"), parts[1].alias("l_quantity")
+    )
 
 
 @query(
@@ -114,8 +167,8 @@ def labelled_texts(spark, sf_dir) -> DataFrame:
 
 @query(
     "training_table",
-    """SELECT d.doc_id, n_chars, CAST(quality AS DOUBLE) AS label,
-    substr(md5(CAST(d.doc_id AS VARCHAR) || '42'), 1, 4) < '3333' AS is_test
+    f"""SELECT d.doc_id, n_chars, CAST(quality AS DOUBLE) AS label,
+    {sql_share('CAST(d.doc_id AS VARCHAR)', 0.2)} AS is_test
     FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def training_table(spark, sf_dir):

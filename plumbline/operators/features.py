@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,25 +11,18 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Labels that a fitted indexer may hold on the driver; larger columns use ranking.index_column.
-MAX_INDEXED = 100_000
-
+from plumbline.operators import ranking
 
 def label_indexer(column: str, output: str = "label") -> StringIndexer:
     """Classes by falling frequency, ties in the order of their text."""
     return StringIndexer(inputCol=column, outputCol=output, stringOrderType="frequencyDesc")
 
 
-def category_indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndexer]:
-    """Indexers that give unseen categories an index of their own.
+def category_indexers(columns: Sequence[str]) -> list[StringIndexer]:
+    """Indexers that give unseen categories an index of their own, for columns of few categories.
 
-    A fitted indexer holds its categories on the driver and in the model, so columns with more
-    than ``MAX_INDEXED`` of them are refused; those take ranking.rank_categories.
+    A fitted indexer holds its categories on the driver and in the model; ``category_table`` doesn't.
     """
-    sizes = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in columns]).first()
-    large = [c for c in columns if sizes[c] > MAX_INDEXED]
-    if large:
-        raise ValueError(f"too many categories for an indexer stage: {large}")
     return [
         StringIndexer(
             inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="frequencyDesc"
@@ -37,6 +31,21 @@ def category_indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndex
     ]
 
 
+def category_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Indexes of the categories of several columns, as one table: ``column, category, index``."""
+    ranked = [
+        ranking.rank_categories(df, c).select(F.lit(c).alias("column"), "category", "index") for c in columns
+    ]
+    return functools.reduce(DataFrame.unionByName, ranked)
+
+
+def index_categories(df: DataFrame, columns: Sequence[str], indexes: DataFrame) -> DataFrame:
+    """Add ``<column>_index`` for each column, by joins with such a table; unknown and NULL categories get the next index."""
+    for c in columns:
+        df = ranking.index_column(df, c, indexes.where(F.col("column") == c), f"{c}_index")
+    return df
+
+
 def assembler(columns: Sequence[str], output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=output)
 

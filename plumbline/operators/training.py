@@ -103,6 +103,16 @@ def train(
     )
 
 
+def categories_path(uri: str) -> str:
+    """Where the indexes of a model's categories are stored."""
+    return f"{uri}-categories"
+
+
+def example_path(uri: str) -> str:
+    """Where an example of a model's input is stored."""
+    return f"{uri}-example"
+
+
 def save_model(model: PipelineModel, uri: str) -> None:
     model.write().overwrite().save(uri)
 

@@ -33,14 +33,10 @@ class Retrained:
     version: int
 
 
-def event_stages(df: DataFrame) -> list:
-    """Label and feature stages of the staged event table."""
+def event_stages() -> list:
+    """Label and feature stages of the staged event table, once its categories have indexes."""
     inputs = [*(f"{c}_index" for c in EVENT_CATEGORIES), *EVENT_NUMBERS]
-    return [
-        features.label_indexer(EVENT_LABEL),
-        *features.category_indexers(df, EVENT_CATEGORIES),
-        features.assembler(inputs),
-    ]
+    return [features.label_indexer(EVENT_LABEL), features.assembler(inputs)]
 
 
 def retrain(
@@ -51,14 +47,27 @@ def retrain(
     name: str,
     alias: str,
     *,
+    categories: Sequence[str] = (),
+    example: Sequence[str] = (),
     n_trials: int = search.N_TRIALS,
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
     at: datetime.datetime | None = None,
 ) -> Retrained:
-    """Rows are split by key, so every trial and the refit see the same two parts."""
+    """Rows are split by key, so every trial and the refit see the same two parts.
+
+    ``categories`` are columns that become indexes before the stages; their index table is stored next to
+    the model, however many there are, and so are a few rows of the ``example`` columns.
+    """
     spark = df.sparkSession
     at = at or datetime.datetime.now(datetime.timezone.utc)
+    run_id = uuid.uuid4().hex
+    uri = f"{models.root}/models/{name}/{run_id}"
+    if example:
+        training.input_example(df, key, list(example)).write.parquet(training.example_path(uri))
+    if categories:
+        features.category_table(df, categories).write.parquet(training.categories_path(uri))
+        df = features.index_categories(df, categories, spark.read.parquet(training.categories_path(uri)))
     before = features.fit_features(stages, df)
     ready = before.transform(df).select(F.col(key).alias("key"), "features", F.col("label").cast("double").alias("label"))
     train_rows, test_rows = train_test(ready, "key", TEST_SHARE, seed)
@@ -67,8 +76,7 @@ def retrain(
         search_id = uuid.uuid4().hex
         models.log_run(registry.trial_rows(trials, search_id))
         best = search.best_params(trials)
-        trained = training.train(fitted_on, judged_on, best, before)
-    uri = f"{models.root}/models/{name}/{trained.run_id}"
+        trained = training.train(fitted_on, judged_on, best, before, run_id)
     training.save_model(trained.model, uri)
     models.log_run(
         registry.run_rows(
@@ -102,13 +110,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     df = load_table(spark, args.table)
     if args.text:
         df = df.select(args.key, args.text, F.col(args.label).alias("label"))
-        stages = features.text_stages(args.text)
+        stages, categories, example = features.text_stages(args.text), (), (args.text,)
     else:
         df = df.fillna(0.0, list(EVENT_NUMBERS))
-        stages = event_stages(df)
+        stages, categories, example = event_stages(), EVENT_CATEGORIES, (*EVENT_CATEGORIES, *EVENT_NUMBERS)
     made = retrain(
         df, stages, args.key, registry.Registry(spark, args.registry), args.name, args.alias,
-        n_trials=args.trials, parallelism=args.parallelism,
+        categories=categories, example=example, n_trials=args.trials, parallelism=args.parallelism,
     )
     print(made)
 

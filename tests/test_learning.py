@@ -11,13 +11,11 @@ from plumbline.operators import features, scoring, search, training
 from plumbline.operators.registry import Registry, current_aliases, run_rows
 from plumbline.operators.split import train_test
 from plumbline.operators.training import Params, TrainingShape
-from plumbline.plans.retrain import event_stages, retrain
+from plumbline.plans import score
+from plumbline.plans.retrain import EVENT_CATEGORIES, event_stages, retrain
 
-NAMES = ["sepal length (cm)", "sepal width (cm)", "petal length (cm)", "petal width (cm)"]
-REQUEST = (
-    '{"dataframe_split": {"columns": ["sepal length (cm)", "sepal width (cm)", "petal length (cm)", '
-    '"petal width (cm)"], "data": [[5.1, 3.5, 1.4, 0.2], [6.2, 3.4, 5.4, 2.3]]}}'
-)
+NAMES = ["height", "width", "stem length", "stem width"]
+REQUEST = '{"dataframe_split": {"columns": ["height", "width", "stem length", "stem width"], "data": [[4.9, 3.1, 1.5, 0.1], [6.5, 3.0, 5.8, 2.2]]}}'
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +36,7 @@ def prepared(flowers):
     return before, *train_test(before.transform(flowers).select("id", "features", "label"), "id")
 
 
-def test_solvers_choose_how_classes_are_fitted():
+def test_solvers_choose_how_classes_are_fitted(spark):
     assert isinstance(training.classifier(Params(0.5, "liblinear"), TrainingShape(100, 3)), OneVsRest)
     joint = training.classifier(Params(0.5, "lbfgs"), TrainingShape(100, 3))
     assert joint.getRegParam() == pytest.approx(1 / 50)
@@ -105,16 +103,43 @@ def test_best_trial_is_the_first_of_the_most_accurate(spark):
     assert search.best_params(trials) == Params(0.2, "lbfgs")
 
 
-def test_large_category_columns_are_refused_by_indexers(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_INDEXED", 5)
-    df = spark.range(100).selectExpr("cast(id as string) as c")
-    with pytest.raises(ValueError, match="too many"):
-        features.category_indexers(df, ["c"])
+def test_any_number_of_categories_trains_and_scores(spark, tmp_path):
+    rows = spark.range(150_000).selectExpr(
+        "id", "cast(id as string) as user_id", "if(id % 3 = 0, '/a', '/b') as page",
+        "if(id % 2 = 0, 'click', 'view') as event_type", "cast(id % 2 as double) * 50 as purchase_value",
+    )
+    models = Registry(spark, str(tmp_path))
+    made = retrain(
+        rows, event_stages(), "id", models, "m", "Live",
+        categories=EVENT_CATEGORIES, example=("user_id", "page", "purchase_value"), n_trials=1,
+    )
+    new = spark.createDataFrame([(1, "nobody", "/c", 50.0), (2, "8", "/a", 0.0)], "id int, user_id string, page string, purchase_value double")
+    scored = score.score_rows(new, models, "m", "Live").collect()
+    assert sorted(r.id for r in scored) == [1, 2] and {r.user_id_index for r in scored if r.id == 1} == {150_000.0}
+    uri = models.uri("m", "Live")
+    assert uri.endswith(made.run_id) and spark.read.parquet(f"{uri}-example").count() == 5
+    with pytest.raises(LookupError):
+        score.load(models, "m", "Nowhere")
+
+
+@pytest.mark.parametrize("share, least, most", [(0, 0, 0), (1, 2000, 2000), (1.0, 2000, 2000), (0.99999, 1998, 2000), (0.3, 500, 700)])
+def test_shares_of_keys(spark, share, least, most):
+    from plumbline.operators.split import sampled
+
+    assert least <= sampled(spark.range(2000), "id", share).count() <= most
+
+
+@pytest.mark.parametrize("share", [-0.1, 1.2, float("nan")])
+def test_shares_outside_zero_and_one_are_refused(spark, share):
+    from plumbline.operators.split import sampled
+
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        sampled(spark.range(5), "id", share)
 
 
 def test_unseen_categories_are_kept(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
-    model = features.category_indexers(df, ["c"])[0].fit(df)
+    model = features.category_indexers(["c"])[0].fit(df)
     seen = spark.createDataFrame([("b",), ("zzz",)], "c string")
     assert [r.c_index for r in model.transform(seen).collect()] == [1.0, 2.0]
 
@@ -194,8 +219,10 @@ def test_event_model_scores_rows_without_labels(spark, tmp_path):
 
     staged = staged_v1(table(spark, SF_SMALL, "events")).fillna(0.0, ["purchase_value"])
     models = Registry(spark, str(tmp_path / "registry"))
-    made = retrain(staged, event_stages(staged), "event_id", models, "events", "Staging", n_trials=2, parallelism=2)
-    model = training.load_model(models.uri("events", "Staging"))
-    scored = scoring.score(model, staged.drop("event_type"))
+    made = retrain(
+        staged, event_stages(), "event_id", models, "events", "Staging",
+        categories=EVENT_CATEGORIES, n_trials=2, parallelism=2,
+    )
+    scored = score.score_rows(staged.drop("event_type"), models, "events", "Staging")
     assert scored.where("prediction between 0 and 4").count() == 1000
     assert 0 <= made.accuracy <= 1

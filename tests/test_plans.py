@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.catalog.base import staged_v1, staged_v2, table
 from plumbline.operators.drift import DriftRules
 from plumbline.operators.suite import COUNTS, USER_EVENTS_SUITE, Run
-from plumbline.plans import drift, ingest, retrain, validate
+from plumbline.plans import drift, ingest, retrain, score, validate
 from plumbline.plans.drift import measure_drift
 from plumbline.sources.tables import append_rows, as_of, load_table, read_log
 
@@ -85,3 +85,7 @@ def test_job_mains(spark, tmp_path, capsys):
     registry = str(tmp_path / "registry")
     retrain.main(["--table", staged, "--key", "event_id", "--registry", registry, "--trials", "1"])
     assert spark.read.parquet(registry + "/model_version").count() == 1
+    predictions = str(tmp_path / "predictions")
+    score.main(["--table", staged, "--registry", registry, "--keep", "event_id", "--output", predictions])
+    scored = spark.read.parquet(predictions)
+    assert scored.columns == ["event_id", "prediction"] and scored.count() == spark.read.parquet(staged).count()

@@ -28,7 +28,7 @@ def test_equals_the_ml_indexer(spark):
     from plumbline.operators.features import category_indexers
 
     _, df = words(spark)
-    model = category_indexers(df, ["word"])[0].fit(df)
+    model = category_indexers(["word"])[0].fit(df)
     assert model.labels == [r.category for r in rank_categories(df, "word").orderBy("index").collect()]
 
 
