@@ -364,4 +364,4 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     """
     groups = near_copies(docs, "doc_id", "text", width, percent)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*map(quoted, docs.columns))

@@ -237,4 +237,4 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = learn(x.select(F.col("doc_id.doc_id").alias("doc_id"), "x"), labels)
     bad = score(x, model).where("score < 0.5").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.mark").alias("_own")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_own"))
-    return marked.join(written(bad, "rejected"), same, "left_anti").select(docs.columns)
+    return marked.join(written(bad, "rejected"), same, "left_anti").select(*map(quoted, docs.columns))

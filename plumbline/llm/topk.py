@@ -37,6 +37,8 @@ def integers(vectors: DataFrame, id_column: str, vector_column: str, scale: int
 
 def _numbers(vec: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     flat = vec.combine_chunks() if isinstance(vec, pa.ChunkedArray) else vec
+    if not dim:
+        return np.zeros((len(flat), 0), dtype=np.int64)
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
 
 
