@@ -179,7 +179,7 @@ SQL_JS_ROWS = """ SELECT col AS "column", round(js, 6) AS statistic, CAST(NULL A
 def _sql_gamma_tail(a: str, x: str) -> str:
     """Upper regularised gamma function as one minus the power series of the lower one."""
     return f"""greatest(0.0, 1 - (SELECT sum(exp(({a} + i) * ln({x}) - {x} - lgamma({a} + i + 1)))
-        FROM range(0, 2000) t(i)))"""
+        FROM range(0, CAST(2000 + 4 * ({x}) AS BIGINT)) t(i)))"""
 
 
 @query(

@@ -160,7 +160,7 @@ def find_edges(
     wanted = edges_for(n_rows, len(columns)) if count is None else count
     if wanted == 0:
         return {}
-    facts = table_facts(df, columns, flag, wanted, n_rows, with_distinct=False)
+    facts = table_facts(df, columns, flag, wanted, with_distinct=False)
     return {name: column.edges for name, column in facts.columns.items()}
 
 

@@ -106,7 +106,7 @@ def drift_report(
     names = list(columns)
     n_rows = df.count()
     n_edges = distribution.edges_for(n_rows, len(names))
-    facts = table_facts(df, names, flag, n_edges, n_rows)
+    facts = table_facts(df, names, flag, n_edges)
     facts = settle_distinct(df, facts, rules.roles)
     roles = infer_roles(facts, rules.roles)
     tests = choose_tests(roles, facts, rules)

@@ -13,8 +13,6 @@ NUMERIC, CATEGORICAL, TEXT = "num", "cat", "text"
 
 # Partial sketches merge in this many groups before the last merge.
 _MERGE_GROUPS = 256
-# Quantile sketches see about this many values per column.
-_EDGE_VALUES = 20_000_000
 # Columns of at most this many distinct values (by estimate) have them collected in one set.
 _SMALL_SET = 1000
 
@@ -26,6 +24,8 @@ class RoleRules:
     few_values: int = 5
     text_share: float = 0.5
     include_timestamps: bool = False
+    # whether an estimate that is clear of the threshold may decide between text and category
+    estimate_texts: bool = False
 
 
 @dataclass(frozen=True)
@@ -78,7 +78,6 @@ def table_facts(
     columns: Sequence[str],
     flag: str = "is_ref",
     edges_per_column: int = 0,
-    n_rows: int = 0,
     with_distinct: bool = True,
 ) -> TableFacts:
     """Side sizes, usable values per side, distinct estimates and value quantiles per column.
@@ -87,18 +86,11 @@ def table_facts(
 
     Counters and sketches combine per task, then in groups of tasks, then once more, so that
     no single task merges one sketch per input split.  Quantiles serve as bucket edges, which
-    never change a result, so on a table of more than ``_EDGE_VALUES`` rows they come from a
-    part of the values; everything else is counted over all rows.
+    never change a result.  All of it covers all rows.
     """
-    edge_share = min(1.0, _EDGE_VALUES / max(n_rows, 1))
-    # an error of about half a bucket
+    # an error of about half a bucket, a whole one for the most edges
     sketch_size = min(8192, max(256, 8 * edges_per_column))
     fields = [df.schema[name] for name in columns if can_be_tested(df.schema[name].dataType)]
-    if edges_per_column and edge_share < 1.0:
-        df = df.withColumn("_draw", F.rand(11))
-
-    def in_sketch(number: Column) -> Column:
-        return number if edge_share == 1.0 else F.when(F.col("_draw") < edge_share, number)
 
     ref, cur = F.col(flag), ~F.col(flag)
     level_1: list[Column] = [F.count_if(ref).alias("n_ref"), F.count_if(cur).alias("n_cur")]
@@ -122,25 +114,23 @@ def table_facts(
             merged_sketch = F.hll_union_agg(f"hll_{at}")
             level_2.append(F.hll_sketch_estimate(merged_sketch).alias(f"distinct_{at}"))
         if edges_per_column and at in numbers:
-            level_1.append(F.kll_sketch_agg_double(in_sketch(numbers[at]), sketch_size).alias(f"kll_{at}"))
+            level_1.append(F.kll_sketch_agg_double(numbers[at], sketch_size).alias(f"kll_{at}"))
             level_2.append(F.kll_merge_agg_double(f"kll_{at}").alias(f"kll_{at}"))
     group = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group")
     merged = df.groupBy(group).agg(*level_1).agg(*level_2)
-    ranks = [i / (edges_per_column + 1) for i in range(1, edges_per_column + 1)]
-    shown = []
-    for name in merged.columns:
-        if name.startswith("kll_"):
-            at = name.split("_")[1]
-            quantiles = F.kll_sketch_get_quantile_double(name, F.array(*map(F.lit, ranks)))
-            some = F.kll_sketch_get_n_double(name) > 0
-            shown.append(F.when(some, quantiles).alias(f"edges_{at}"))
-        else:
-            shown.append(F.col(name))
+    # one array of ranks, written as text, for all sketches: thousands of literals for each take the driver minutes
+    listed = ", ".join(f"{i / (edges_per_column + 1)!r}D" for i in range(1, edges_per_column + 1))
+    shown = [F.col(c) for c in merged.columns if not c.startswith("kll_")]
+    places = [at for at in numbers if edges_per_column]
+    if places:
+        ranks = F.expr(f"array({listed})")
+        edges_of = lambda k: F.when(F.kll_sketch_get_n_double(k) > 0, F.kll_sketch_get_quantile_double(k, ranks))
+        shown.append(F.transform(F.array(*[f"kll_{at}" for at in places]), edges_of).alias("edges"))
     row = merged.select(*shown).first()
 
     facts = {}
     for at, field in enumerate(fields):
-        edges = row[f"edges_{at}"] if edges_per_column and at in numbers else None
+        edges = row["edges"][places.index(at)] if at in places else None
         facts[field.name] = ColumnFacts(
             field.name,
             field.dataType,
@@ -153,13 +143,14 @@ def table_facts(
 
 
 def _settled(facts: ColumnFacts, rules: RoleRules) -> bool:
-    """Whether the estimate is far enough from every threshold that looks at distinct values."""
+    """Whether the estimate can't be on the wrong side of a threshold that looks at distinct values."""
     if isinstance(facts.data_type, T.StringType):
         filled = facts.n_ref + facts.n_cur
         margin = 0.1 * rules.text_share * filled
         clear = abs(facts.distinct - rules.text_share * filled) > margin
-        return clear and filled > 10_000 and facts.distinct > 100
+        return rules.estimate_texts and clear and facts.distinct > 20 * rules.few_values + 100
     if is_number(facts.data_type):
+        # few values fill as few places of the sketch, whose estimate is then about their number
         return facts.distinct > 20 * rules.few_values + 100
     return True
 
