@@ -10,6 +10,8 @@ short documents apart.  Two fingerprints are as alike as the share of their hash
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,21 +21,21 @@ from plumbline.operators.ranking import number_rows
 #: The band: least and most share of all documents that a term occurs in, and documents it must occur in at least.
 LEAST, MOST, SEEN = 0.002, 0.02, 2
 #: Parts of the lexicon that the randomised lexicons keep: one in so many terms, by lexicon.
-PARTS = (16,) * 8 + (64,) * 20 + (256,) * 20
+PARTS = (16,) * 6 + (64,) * 13 + (256,) * 13
 _FIRST = -(2**63)  # stands for a null id
 
 
 def terms(text: Column) -> Column:
-    """Distinct words, A-Z in lower case."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.split(lower, f"[{SPACE}]+"))
+    """Distinct words in lower case."""
+    return F.array_distinct(F.split(F.lower(text), f"[{SPACE}]+"))
 
 
 def lexicon(texts: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
     """Columns ``term, df, kept``: the terms in the band; bit k of ``kept`` is set if randomised lexicon k has the term."""
     n = texts.count()
-    counted = texts.select(F.explode(terms(F.col("text"))).alias("term")).where("term <> ''")
-    counted = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # an outer explode, as the plain one would work out the terms twice, to leave out texts without any
+    counted = texts.select(F.explode_outer(terms(F.col("text"))).alias("term"))
+    counted = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("term <> ''")
     band = counted.where((F.col("df") >= max(SEEN, least * n)) & (F.col("df") <= most * n))
     bits = [F.when(F.pmod(F.xxhash64(F.lit(k), "term"), F.lit(part)) == 0, 1 << k).otherwise(0) for k, part in enumerate(PARTS)]
     return written(band.withColumn("kept", sum(bits[1:], bits[0]).cast("long")).where("kept <> 0"), "lexicon")
@@ -45,12 +47,21 @@ def _hashes(found: Column, whole: Column) -> Column:
     A text without any term of the lexicon stands for itself: each hash is that of the whole text.
     """
 
-    def one(k: Column) -> Column:
-        own = F.filter(found, lambda t: F.getbit(t["kept"], k) == 1)
-        return F.when(F.size(own) > 0, F.xxhash64(F.array_join(F.transform(own, lambda t: t["term"]), " ")))
-
     slots = F.array(*[F.lit(k) for k in range(len(PARTS))])
-    return F.when(F.size(found) > 0, F.transform(slots, one)).otherwise(F.transform(slots, lambda _: whole))
+
+    def each(lined: Column) -> Column:
+        def one(k: Column) -> Column:
+            joined = F.array_join(F.transform(F.filter(lined, lambda t: F.getbit(t["kept"], k) == 1), lambda t: t["term"]), " ")
+            return _once(joined, lambda j: F.when(j != "", F.xxhash64(j)))
+
+        return F.when(F.size(lined) > 0, F.transform(slots, one)).otherwise(F.transform(slots, lambda _: whole))
+
+    return _once(F.sort_array(found), each)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, not wherever it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text_columns: list[str], words: DataFrame) -> DataFrame:
@@ -61,14 +72,18 @@ def fingerprints(texts: DataFrame, keys: list[str], text_columns: list[str], wor
     """
     each = F.array(*[F.struct(F.lit(k).alias("which"), terms(text_of(c)).alias("terms")) for k, c in enumerate(text_columns)])
     wholes = [f"whole_{k}" for k in range(len(text_columns))]
-    rows = texts.select(*keys, *[F.xxhash64(text_of(c)).alias(w) for c, w in zip(text_columns, wholes, strict=True)], F.explode(each).alias("own"))
+    rows = texts.select(*keys, *[F.xxhash64(text_of(c)).alias(w) for c, w in zip(text_columns, wholes, strict=True)], each.alias("each"))
+    rows = rows.select(*keys, *wholes, F.explode_outer("each").alias("own"))
+    # apart, so that the terms themselves don't go along with each of them
+    rows = rows.select(*keys, *wholes, F.col("own.which").alias("which"), F.col("own.terms").alias("terms"))
     # the empty term keeps texts without any other in the result; no lexicon keeps it
-    rows = rows.select(*keys, *wholes, "own.which", F.explode(F.array_union("own.terms", F.array(F.lit("")))).alias("term"))
+    rows = rows.select(*keys, *wholes, "which", F.explode_outer(F.concat("terms", F.array(F.lit("")))).alias("term"))
+    rows = rows.select(*keys, *wholes, "which", F.xxhash64("term").alias("code"))
     known = words.select("term", "kept").union(texts.sparkSession.createDataFrame([("", 0)], "term string, kept long"))
-    found = rows.join(F.broadcast(known), "term").groupBy(*keys, *wholes)
+    found = rows.join(F.broadcast(known.withColumn("code", F.xxhash64("term"))), "code").groupBy(*keys, *wholes)
     lists = [F.collect_list(F.when((F.col("which") == k) & (F.col("kept") != 0), F.struct("term", "kept"))).alias(f"list_{k}") for k in range(len(wholes))]
     found = found.agg(*lists)
-    return found.select(*keys, *[_hashes(F.sort_array(f"list_{k}"), F.col(w)).alias(f"print_{k}") for k, w in enumerate(wholes)])
+    return found.select(*keys, *[_hashes(F.col(f"list_{k}"), F.col(w)).alias(f"print_{k}") for k, w in enumerate(wholes)])
 
 
 def likeness(a: Column, b: Column) -> Column:
