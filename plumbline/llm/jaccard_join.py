@@ -90,7 +90,7 @@ def _fragments(texts: DataFrame, width: int, n: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, words in words_of(batch.column(0), 16 << 20):
+            for _, words in words_of(batch.column(0), 4 << 20):
                 own = [x for x in _unique(*words.shingles(width)) if len(x)]
                 if not own:
                     continue

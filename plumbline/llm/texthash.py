@@ -115,7 +115,7 @@ class Words:
         return out, edges
 
 
-def words_of(texts: pa.Array, most: int = 4 << 20, table: np.ndarray = _LOWER):
+def words_of(texts: pa.Array, most: int = 1 << 20, table: np.ndarray = _LOWER):
     """Yields (first row, ``Words``) for runs of rows of about ``most`` bytes, or one longer row."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
