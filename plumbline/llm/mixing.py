@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, quoted, text_of, written
+from plumbline.llm.common import SPACE, partitions, quoted, text_of, written
 
 #: Words of a block, slots of an output shard, documents whose order one task finds, times a source may be repeated.
 BLOCK, SHARD, BUCKET, REPEATS = 32, 16_384, 20_000, 3
@@ -115,7 +115,9 @@ def _slots(plan: DataFrame, slots: int, shard: int, seed: int) -> DataFrame:
     counts = counts.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
     name = plan["source"].eqNullSafe(counts["source"])
     counts = counts.join(plan, name).select("shard", counts["source"], "blocks", "first", "drawn", (F.col("high") - F.col("low")).alias("due"))
-    own = counts.where("first < due AND drawn > 0").select(
+    # few rows that stand for many slots: dealt out anew before they are spread
+    dealt = counts.repartition(partitions(plan.sparkSession), "shard", "source")
+    own = dealt.where("first < due AND drawn > 0").select(
         "shard", "source", "blocks", F.explode(F.expr("sequence(first, least(first + drawn, due) - 1)")).alias("at")
     )
     over = counts.where("first + drawn > due").select(
