@@ -21,7 +21,7 @@ from plumbline.operators.ranking import number_rows
 #: The band: least and most share of all documents that a term occurs in, and documents it must occur in at least.
 LEAST, MOST, SEEN = 0.002, 0.02, 2
 #: Parts of the lexicon that the randomised lexicons keep: one in so many terms, by lexicon.
-PARTS = (16,) * 6 + (64,) * 13 + (256,) * 13
+PARTS = (16,) * 8 + (64,) * 20 + (256,) * 20
 _FIRST = -(2**63)  # stands for a null id
 
 
@@ -44,19 +44,29 @@ def lexicon(texts: DataFrame, least: float = LEAST, most: float = MOST) -> DataF
 def _hashes(found: Column, whole: Column) -> Column:
     """One hash for each randomised lexicon: of the sorted terms that it keeps; null if there are none.
 
-    A text without any term of the lexicon stands for itself: each hash is that of the whole text.
+    ``found`` has a text's terms, each with the numbers of the lexicons that keep it.  Lined up by lexicon and term, they
+    are gone through once, not once for each lexicon.  A text without any term of the lexicon stands for itself: each
+    hash is that of the whole text.
     """
 
     slots = F.array(*[F.lit(k) for k in range(len(PARTS))])
+    lined = F.sort_array(F.flatten(F.transform(found, lambda t: F.transform(t["slots"], lambda k: F.struct(k.alias("slot"), t["term"].alias("term"))))))
 
-    def each(lined: Column) -> Column:
-        def one(k: Column) -> Column:
-            joined = F.array_join(F.transform(F.filter(lined, lambda t: F.getbit(t["kept"], k) == 1), lambda t: t["term"]), " ")
-            return _once(joined, lambda j: F.when(j != "", F.xxhash64(j)))
+    def each(own: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(1), F.size(own)), lambda i: (i == 1) | (F.get(own, i - 1)["slot"] != F.get(own, i - 2)["slot"]))
 
-        return F.when(F.size(lined) > 0, F.transform(slots, one)).otherwise(F.transform(slots, lambda _: whole))
+        def parts(begins: Column) -> Column:
+            def one(begin: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(begins, k + 1), F.size(own) + 1)
+                joined = F.array_join(F.transform(F.slice(own, begin, end - begin), lambda t: t["term"]), " ")
+                return F.struct(F.get(own, begin - 1)["slot"], F.xxhash64(joined))
 
-    return _once(F.sort_array(found), each)
+            return F.map_from_entries(F.transform(begins, one))
+
+        known = _once(begins, parts)
+        return F.when(F.size(own) > 0, _once(known, lambda m: F.transform(slots, lambda k: F.element_at(m, k)))).otherwise(F.transform(slots, lambda _: whole))
+
+    return _once(lined, each)
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -80,8 +90,10 @@ def fingerprints(texts: DataFrame, keys: list[str], text_columns: list[str], wor
     rows = rows.select(*keys, *wholes, "which", F.explode_outer(F.concat("terms", F.array(F.lit("")))).alias("term"))
     rows = rows.select(*keys, *wholes, "which", F.xxhash64("term").alias("code"))
     known = words.select("term", "kept").union(texts.sparkSession.createDataFrame([("", 0)], "term string, kept long"))
+    slots = F.filter(F.array(*[F.lit(k) for k in range(len(PARTS))]), lambda k: F.getbit("kept", k) == 1)
+    known = known.select("term", slots.alias("slots"))
     found = rows.join(F.broadcast(known.withColumn("code", F.xxhash64("term"))), "code").groupBy(*keys, *wholes)
-    lists = [F.collect_list(F.when((F.col("which") == k) & (F.col("kept") != 0), F.struct("term", "kept"))).alias(f"list_{k}") for k in range(len(wholes))]
+    lists = [F.collect_list(F.when((F.col("which") == k) & (F.size("slots") > 0), F.struct("term", "slots"))).alias(f"list_{k}") for k in range(len(wholes))]
     found = found.agg(*lists)
     return found.select(*keys, *[_hashes(F.col(f"list_{k}"), F.col(w)).alias(f"print_{k}") for k, w in enumerate(wholes)])
 
