@@ -1,7 +1,8 @@
 """I-Match fingerprints: hashes of a document's terms within a band of document frequency.
 
 Terms that occur in too many or too few documents say little about a document or don't survive an
-edit; the lexicon is what lies between.  Its size has a bound that doesn't grow with the number of
+edit; the lexicon is what lies between.  Near copies together weigh about as much as one document when a term is judged too common, so that a
+large group of them doesn't lift its own terms out of the lexicon.  Its size has a bound that doesn't grow with the number of
 documents: the terms with a document frequency of at least a share s are at most 1/s times the mean number of
 distinct terms of a document.  Each of several randomised lexicons keeps a part of it, some large parts, some small:
 a document's terms in it, sorted, give one hash.  Small parts survive edits of long documents, large ones tell
@@ -22,6 +23,9 @@ from plumbline.operators.ranking import number_rows
 LEAST, MOST, SEEN = 0.002, 0.02, 2
 #: Parts of the lexicon that the randomised lexicons keep: one in so many terms, by lexicon.
 PARTS = (16,) * 8 + (64,) * 20 + (256,) * 20
+#: Words of a hashed run, least hashes of runs that make a text's sketch, and how many of them a group of near copies shares at least.
+RUN, SKETCH, COMMON = 3, 8, 3
+_UNIT = 1 << 30  # weight of a text without near copies
 _FIRST = -(2**63)  # stands for a null id
 
 
@@ -30,15 +34,51 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), f"[{SPACE}]+"))
 
 
+def sketch(text: Column) -> Column:
+    """The least few hashes of a text's runs of words: near copies have most of them in common."""
+
+    def hashes(words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, RUN)]))
+
+    words = F.filter(F.split(F.lower(text), f"[{SPACE}]+"), lambda w: w != "")
+    return F.slice(F.sort_array(F.array_distinct(_once(words, hashes))), 1, SKETCH)
+
+
+def weighed(texts: DataFrame, n: int, least: float = LEAST) -> DataFrame:
+    """Columns ``text, weight``: a whole weight shared by a group of near copies.
+
+    A group's size is the number of texts that have a text's third commonest sketch hash; hashes of fewer texts than half the
+    band's least share make no group, which bounds those that are broadcast: the length of a sketch over that share.
+    """
+    drawn = texts.select("text", sketch(F.col("text")).alias("sketch"))
+    counted = drawn.select(F.explode("sketch").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("size"))
+    groups = written(counted.where(F.col("size") >= max(2, least / 2 * n)), "groups")
+    rows = drawn.select("text", *[F.get("sketch", F.lit(k)).alias(f"hash_{k}") for k in range(SKETCH)])
+    for k in range(SKETCH):
+        rows = rows.join(F.broadcast(groups.select(F.col("hash").alias(f"hash_{k}"), F.col("size").alias(f"size_{k}"))), f"hash_{k}", "left")
+    # a text of fewer runs has them all in common with its near copies
+    has = sum((F.col(f"hash_{k}").isNotNull().cast("int") for k in range(SKETCH)), F.lit(0))
+    sizes = F.sort_array(F.array(*[F.coalesce(F.col(f"size_{k}"), F.lit(1).cast("long")) for k in range(SKETCH)]), asc=False)
+    size = F.get(sizes, F.greatest(F.least(has, F.lit(COMMON)), F.lit(1)) - 1)
+    return rows.select("text", F.floor(F.lit(_UNIT) / size).cast("long").alias("weight"))
+
+
 def lexicon(texts: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
-    """Columns ``term, df, kept``: the terms in the band; bit k of ``kept`` is set if randomised lexicon k has the term."""
+    """Columns ``term, df, kept``: the terms in the band; bit k of ``kept`` is set if randomised lexicon k has the term.
+
+    The least share is of all texts, the most of their weights.
+    """
     n = texts.count()
+    rows = weighed(texts, n, least)
     # an outer explode, as the plain one would work out the terms twice, to leave out texts without any
-    counted = texts.select(F.explode_outer(terms(F.col("text"))).alias("term"))
-    counted = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("term <> ''")
-    band = counted.where((F.col("df") >= max(SEEN, least * n)) & (F.col("df") <= most * n))
+    counted = rows.select("weight", F.explode_outer(F.array_union(terms(F.col("text")), F.array(F.lit("")))).alias("term"))
+    counted = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("weight").alias("weight"))
+    # every text has the empty term once, which sums all weights
+    counted = written(counted.where((F.col("df") >= max(SEEN, least * n)) | (F.col("term") == "")), "counted")
+    whole = counted.where("term = ''").agg(F.max("weight")).first()[0] or 0
+    band = counted.where((F.col("term") != "") & (F.col("weight") <= most * whole))
     bits = [F.when(F.pmod(F.xxhash64(F.lit(k), "term"), F.lit(part)) == 0, 1 << k).otherwise(0) for k, part in enumerate(PARTS)]
-    return written(band.withColumn("kept", sum(bits[1:], bits[0]).cast("long")).where("kept <> 0"), "lexicon")
+    return written(band.select("term", "df", sum(bits[1:], bits[0]).cast("long").alias("kept")).where("kept <> 0"), "lexicon")
 
 
 def _hashes(found: Column, whole: Column) -> Column:

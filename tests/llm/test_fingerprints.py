@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from messy import empty, frame, rows
 
@@ -52,3 +53,21 @@ def test_randomised_lexicons_suffice_for_edits(spark):
     got = fingerprints.compared(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 4 = 0"))
     row = got.selectExpr("avg(cast(near_edited = 0 as int)) lost", "avg(cast(near_edited > near_next as int)) higher").first()
     assert row.lost < 0.075 and row.higher > 0.92
+
+
+def test_a_large_group_of_near_copies_keeps_its_terms(spark):
+    draw = random.Random(4)
+    word = lambda: f"w{int(20000 * draw.random() ** 2)}"
+    base = [word() for _ in range(150)]
+    docs = [(k, " ".join(word() for _ in range(150))) for k in range(600)]
+    for k in range(300):
+        own = list(base)
+        own[draw.randrange(150)] = f"edit{k}"
+        docs.append((600 + k, " ".join(own)))
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+    words = fingerprints.lexicon(texts.select("text"))
+    names = {r.term for r in words.collect()}
+    assert all(set(t.split()) & names for k, t in docs if k >= 600)
+    prints = {r.doc_id: r.print_0 for r in fingerprints.fingerprints(texts, ["doc_id"], ["text"], words).collect()}
+    alike = [sum(a == b for a, b in zip(prints[600], prints[k], strict=True) if a or b) / sum(bool(a or b) for a, b in zip(prints[600], prints[k], strict=True)) for k in range(601, 900)]
+    assert sum(alike) / len(alike) > 0.8
