@@ -6,7 +6,8 @@ test of the alphabet's evenness, a runs test and a serial-correlation test of th
 Fisher's method.  Words fail it, random keys don't, but short words fail it less surely.  So tokens are judged
 within strata of encoding and length: random tokens spread evenly over all p-values, so those with a p-value over one
 half tell how many there are; what a limit lets through beyond their share is taken for words, and the
-lowest limit is chosen at which that is at most the allowed share.
+lowest limit is chosen at which that is, within what chance does, at most the allowed share.  Different tokens count, not
+how often each occurs; too few of them support no limit but the lowest.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ ENCODINGS = (
 )
 #: Lengths at which a new stratum begins, allowed share of words, p-values that may be limits.
 LENGTHS, ALLOWED, LIMITS = (20, 26, 32, 40, 56, 80), 0.1, tuple(k / 20 for k in range(1, 11))
+#: Standard deviations by which the words' share must be over the allowed one for a higher limit.
+SURE = 2
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -146,20 +149,23 @@ def battery(token: Column, encoding: Column) -> Column:
 
 
 def limits(tests: DataFrame, allowed: float = ALLOWED) -> dict[tuple[int, int], float]:
-    """The lowest p-value that counts as random, by (encoding, stratum of length).
+    """The lowest p-value that counts as random, by (encoding, stratum of length), from columns ``encoding, stratum, p, token``.
 
     One row per stratum and twentieth of the p-values reaches the driver: a few hundred at most.
     """
-    counted = tests.groupBy("encoding", "stratum", F.least(F.floor(F.col("p") * 20), F.lit(19)).alias("step")).count().collect()
+    step = F.least(F.floor(F.col("p") * 20), F.lit(19)).alias("step")
+    counted = tests.dropDuplicates(["encoding", "stratum", "token"]).groupBy("encoding", "stratum", step).count().collect()
     found: dict[tuple[int, int], list[int]] = {}
     for row in counted:
         found.setdefault((row["encoding"], row["stratum"]), [0] * 20)[row["step"]] += row["count"]
     out = {}
     for stratum, steps in found.items():
-        even = 2 * sum(steps[10:])
+        high = sum(steps[10:])
         for limit in LIMITS:
-            over = sum(steps[round(limit * 20) :])
-            if over - even * (1 - limit) <= allowed * over:
+            low = sum(steps[round(limit * 20) : 10])
+            # of low + high tokens over the limit, 2 * high * (1 - limit) are random
+            of_low, of_high = 1 - allowed, 1 - 2 * limit + allowed
+            if of_low * low - of_high * high <= SURE * (of_low**2 * low + of_high**2 * high) ** 0.5:
                 out[stratum] = limit
                 break
         else:
@@ -195,7 +201,7 @@ def secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         lambda t: F.struct(t.alias("span"), _encoding(t["text"]).alias("encoding"), _stratum(F.length(t["text"])).alias("stratum"), battery(t["text"], _encoding(t["text"])).alias("p")),
     )
     judged = spans.withColumn("tests", F.when(F.size("tokens") > 0, scored))
-    chosen = limits(judged.select(F.explode("tests").alias("t")).select("t.encoding", "t.stratum", "t.p"))
+    chosen = limits(judged.select(F.explode("tests").alias("t")).select("t.encoding", "t.stratum", "t.p", F.col("t.span.text").alias("token")))
     random = F.transform(F.filter(F.coalesce("tests", F.array().cast(judged.schema["tests"].dataType)), lambda t: _passes(t, chosen)), lambda t: t["span"])
     return judged.select("doc_id", *map(quoted, carried), "base", F.array_sort(F.concat(F.col("base"), random.cast(_SPANS))).alias("found"))
 

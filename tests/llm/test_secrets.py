@@ -73,3 +73,13 @@ def test_redaction(spark):
     assert texts[0].text is None and texts[9].text == rows()[9][1]
     one = spark.createDataFrame([(1, 'token = "' + "0a" * 12 + '"', 35)], "doc_id long, text string, n_chars long")
     assert secrets.redacted(one).first().text == '[secret]"'
+
+
+def test_few_tokens_and_copied_ones_raise_no_limit(spark):
+    draw = random.Random(7)
+    many = [(5, 3, draw.random(), f"t{k}") for k in range(1000)]
+    few = [(0, 3, 0.3, "a"), (1, 3, 0.06, "b"), (1, 3, 0.2, "c"), (1, 3, 0.4, "d")]
+    copied = [(5, 3, 0.3, "hot")] * 1000
+    words = [(7, 3, draw.random() ** 4, f"w{k}") for k in range(1000)]
+    got = secrets.limits(spark.createDataFrame(many + few + copied + words, "encoding int, stratum int, p double, token string"))
+    assert got[5, 3] == got[0, 3] == got[1, 3] == secrets.LIMITS[0] and got[7, 3] > 0.2
