@@ -358,10 +358,21 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those whose component has a smaller id.
+    """The rows of ``docs``, one of each component: that with the least id, null ids last.
 
-    Of rows with the same id and text all stay: they are told apart by nothing.
+    Rows are told apart by 128 bits of hashes of all their columns (but maps), so rows that share an id stay or go each for itself;
+    of complete copies one stays.  Rows without shingles are linked with nothing, and all stay.
     """
-    groups = near_copies(docs, "doc_id", "text", width, percent)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*map(quoted, docs.columns))
+    own = [quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    # nulls count for nothing in a hash, so which columns are null is hashed along
+    content = F.struct(*[F.struct(c.isNull().alias("none"), c.alias("own")) for c in own])
+    marks = [F.xxhash64(F.lit(k), content).alias(f"_mark_{k}") for k in range(2)]
+    key = F.struct(quoted("doc_id").isNull().alias("none"), quoted("doc_id").alias("id"), *marks)
+    groups = near_copies(docs.select(key.alias("key"), "text"), "key", "text", width, percent)
+    names = ["_mark_0", "_mark_1"]
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._mark_0", "doc_id._mark_1", "n_shingles")
+    stays = written(stays.groupBy(*names).agg(((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("_again")), "stays")
+    rows = docs.select(*map(quoted, docs.columns), *marks).join(stays, names)
+    # only repeated rows are shuffled for it
+    rows = rows.where(~F.col("_again")).union(rows.where("_again").dropDuplicates(names))
+    return rows.select(*map(quoted, docs.columns))

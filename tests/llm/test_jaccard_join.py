@@ -70,3 +70,13 @@ def test_components(spark):
         ra, rb = top(a), top(b)
         root[max(ra, rb)] = min(ra, rb)
     assert got == {x: top(x) for x in root if top(x) != x}
+
+
+def test_one_row_of_each_component_stays(spark):
+    got = sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(frame(spark)).collect()), key=repr)
+    expected = {(r[0], r[1]) for r in rows()} - {(r[0], r[1]) for r in rows()[5:7]}
+    assert got == sorted(expected, key=repr)
+    long = [" ".join(f"{g}w{k}" for k in range(60)) for g in range(3)]
+    docs = [(1, long[0]), (7, long[0] + " more"), (7, long[1]), (7, long[2]), (None, long[2]), (None, long[2]), (None, "no id but twice"), (None, "no id but twice"), (9, ""), (9, "")]
+    got = jaccard_join.one_of_each(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([docs[0], docs[2], docs[3], docs[6], docs[8], docs[9]], key=repr)
