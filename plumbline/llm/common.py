@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +44,8 @@ def kept(df: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system that a URI names, and the path in it; Hadoop's names of a scheme mean the same store."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, quality, secrets, topk, url_filter, warc
-from plumbline.session import pin_utc
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, quality, secrets, token_files, topk, url_filter, warc
+from plumbline.session import pin_utc, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digests(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)

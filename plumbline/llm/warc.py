@@ -17,12 +17,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import quoted, text_of, written
+from plumbline.llm.common import file_system, quoted, text_of, written
 from plumbline.session import scratch_path
 
 # The formats' marks.
@@ -85,7 +84,7 @@ def write(rows: DataFrame, directory: str, date: str = "1970-01-01T00:00:00Z") -
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        system, folder = pafs.FileSystem.from_uri(directory)
+        system, folder = file_system(directory)
         system.create_dir(folder, recursive=True)
         own, final = f"{folder}/.{context.taskAttemptId()}-{uuid.uuid4().hex}", f"part-{context.partitionId():06d}.warc.gz"
         count, size = 0, 0
@@ -108,7 +107,7 @@ class _File:
     """Bytes of a file from any place, by reads of a fixed size."""
 
     def __init__(self, path: str):
-        system, name = pafs.FileSystem.from_uri(path)
+        system, name = file_system(path)
         self.file = system.open_input_file(name)
         self.size = self.file.size()
         self.at, self.held = 0, b""
