@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, quality, secrets, token_files, topk, url_filter, warc
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, negatives, quality, secrets, token_files, topk, url_filter, warc
 from plumbline.session import pin_utc, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_token_files")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INTEGER) AS positive_rank
+    FROM s WHERE same),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_rank ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id
+    WHERE positive_rank <= 5 AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score, positive_rank FROM n WHERE rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label), F.col("vec_id") % 50 == 0)
