@@ -37,20 +37,49 @@ CHUNK, PIECE, READ = 1 << 16, 1 << 18, 1 << 20
 _MAGIC = b"PLTOKEN1"
 _HEAD, _TAIL = struct.Struct("<IIBB"), struct.Struct("<QQIQQQ8s")
 _BLANK = re.compile(r"[ \t\n\r]")
+# white space of str.split that isn't one of these blanks, and so not known to part words
+_ODD = re.compile(r"[^\S \t\n\r]")
+#: Words whose ids a task keeps, and the longest such word.
+KNOWN, LONGEST = 1 << 18, 64
 
 
-@functools.lru_cache(maxsize=4)
-def tokenizer(path: str, special_as_text: bool):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Words(dict):
+    """The ids of words between blanks, as bytes, each by the tokenizers library when it is first asked for."""
 
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = special_as_text
-    return own
+    def __init__(self, path: str, special_as_text: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.own.encode_special_tokens = special_as_text
+
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.own.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def ids(self, text: str, size: int) -> list[np.ndarray]:
+        """The ids of a text, a bounded number of characters at a time.
+
+        The tokenizer's normal form and its words never reach across a blank, so a text's ids are those of what lies between blanks.
+        """
+        out = []
+        for piece in pieces(text, size):
+            words = piece.split() if _ODD.search(piece) is None else [w for w in _BLANK.split(piece) if w]
+            out.append(np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u4"))
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def known_words(path: str, special_as_text: bool) -> Words:
+    return Words(path, special_as_text)
 
 
 def pieces(text: str, size: int) -> list[str]:
-    """The text in pieces of about ``size`` characters that begin with a blank: no word and no normal form reaches across one."""
+    """The text in pieces of about ``size`` characters, each after the first from a blank on."""
     out, at = [], 0
     while len(text) - at > size:
         cut = max(text.rfind(c, at + 1, at + size) for c in " \t\n\r")
@@ -64,24 +93,6 @@ def pieces(text: str, size: int) -> list[str]:
     return [*out, text[at:]]
 
 
-def _encoded(texts: list[str], own, size: int) -> Iterator[list[np.ndarray]]:
-    """Ids of each text, a bounded number of characters at a time; a text's ids come in one or more arrays."""
-    some, held = [], 0
-    for text in texts:
-        if len(text) > size:
-            if some:
-                yield from ([np.array(e.ids, dtype="<u4")] for e in own.encode_batch(some, add_special_tokens=False))
-                some, held = [], 0
-            yield [np.array(own.encode(p, add_special_tokens=False).ids, dtype="<u4") for p in pieces(text, size)]
-            continue
-        some.append(text)
-        held += len(text)
-        if held >= size:
-            yield from ([np.array(e.ids, dtype="<u4")] for e in own.encode_batch(some, add_special_tokens=False))
-            some, held = [], 0
-    yield from ([np.array(e.ids, dtype="<u4")] for e in own.encode_batch(some, add_special_tokens=False))
-
-
 def planes(ids: np.ndarray, bits: int) -> list[bytes]:
     """Byte or bit planes of the ids, the lowest first, up to the largest id's highest."""
     wide = int(ids.max(initial=0)).bit_length()
@@ -220,7 +231,7 @@ def write(
     ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, own, writer = TaskContext.get(), None, None
+        context, own, writer, words = TaskContext.get(), None, None, known_words(path, special_as_text)
         system, place = file_system(folder)
         shard = context.partitionId()
         end = [np.array([end_id], dtype="<u4")] if end_id is not None else []
@@ -232,8 +243,8 @@ def write(
                     system.create_dir(place, recursive=True)
                     own = f"{place}/.{context.taskAttemptId()}-{uuid.uuid4().hex}"
                     writer = _Writer(system.open_output_stream(own), chunk, bits)
-                for doc_id, arrays in zip(ids, _encoded(texts, tokenizer(path, special_as_text), piece), strict=True):
-                    writer.add(doc_id, arrays + end)
+                for doc_id, text in zip(ids, texts, strict=True):
+                    writer.add(doc_id, words.ids(text, piece) + end)
         if writer is not None:
             writer.close()
             name = f"ids-{shard:06d}.tok"

@@ -29,13 +29,20 @@ def test_planes_give_the_ids_back(bits, ids):
     assert token_files.joined(token_files.planes(ids, bits), bits, len(ids)).tolist() == ids.tolist()
 
 
-def test_pieces_part_no_word():
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_words_between_blanks_give_the_ids_of_the_text(monkeypatch, special_as_text):
+    monkeypatch.setattr(token_files, "KNOWN", 20)
     own = Tokenizer.from_file(PATH)
-    text = "Ünïcode e\u0301 wörds, it's 12345  \n\n end\u3000of\x85 <|endoftext|> 日本語 " * 40 + "x" * 500 + " done"
-    for size in (1, 7, 50, 10_000):
-        parts = token_files.pieces(text, size)
-        assert "".join(parts) == text
-        assert [i for p in parts for i in own.encode(p, add_special_tokens=False).ids] == own.encode(text, add_special_tokens=False).ids
+    own.encode_special_tokens = special_as_text
+    words = token_files.Words(PATH, special_as_text)
+    odd = "Ünïcode e\u0301 \u0301a wörds, it's 12345  \n\n end\u3000of\x85 a\x1cb\x0bc\xa0d <|endoftext|> x<|endoftext|>y ΣΑΣ İ ﬁ 日本語 "
+    for text in (odd * 40 + "x" * 500 + " done", "", " ", "plain words of a plain text " * 30, "x" * 3000, "'S 'll don't\tI'LL"):
+        for size in (1, 7, 50, 10_000):
+            parts = token_files.pieces(text, size)
+            assert "".join(parts) == text
+            got = [i for a in words.ids(text, size) for i in a.tolist()]
+            assert got == own.encode(text, add_special_tokens=False).ids
+    assert len(words) <= 20
 
 
 def test_ids_come_back_in_the_order_of_documents(spark, tmp_path):
