@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, negatives, quality, secrets, token_files, topk, url_filter, warc
+from plumbline.llm import byte_bpe, fingerprints, jaccard_join, licenses, mixing, negatives, quality, secrets, spelling, token_files, topk, url_filter, warc
 from plumbline.session import pin_utc, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,8 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(negatives.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label), F.col("vec_id") % 50 == 0)
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.groups(table(spark, sf_dir, "documents"), least=7, occurs=2, deletions=31, factor=10)
