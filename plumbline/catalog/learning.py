@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.catalog.base import SQL_V1, query, staged_v1, table
 from plumbline.operators import features, ranking, registry, scoring, search, training
 from plumbline.operators.split import in_share, sampled, train_test
+from plumbline.plans import score as score_plan
+from plumbline.session import scratch_path
 from plumbline.sources.tables import reused
 
 
-
 def sql_share(key: str, share: float, seed: int = 42) -> str:
     """The share of keys whose digest, as a number, is below the share of all numbers."""
     return f"CAST('0x' || substr(md5({key} || '{seed}'), 1, 15) AS BIGINT) < {int(share * 16**15)}"
@@ -288,6 +294,73 @@ def score_request_expand(spark, sf_dir):
     return scoring.expand_requests(requests, "request", ["discount", "quantity", "tax"], keys)
 
 
+SCORED = [scoring.Input("flag", "string", required=False), scoring.Input("quantity"), scoring.Input("discount", fill="0.0")]
+
+
+def _rule_model(spark, lines: DataFrame) -> registry.Registry:
+    """A stored, registered and aliased model whose rule SQL can follow: a cut of discounted quantity, moved by the flag's index."""
+    rows = lines.select(F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"))
+    models = registry.Registry(spark, scratch_path(spark, "registry"))
+    uri = f"{models.root}/models/rule/1"
+    features.category_table(rows, ["flag"]).write.parquet(training.categories_path(uri))
+    scoring.input_rows(spark, SCORED).write.parquet(training.inputs_path(uri))
+    cut = rows.agg(F.round(F.avg(F.col("quantity") * (1 - F.col("discount"))), 4)).first()[0]
+    rule = f"SELECT *, CASE WHEN quantity * (1 - discount) - 5 * flag_index > {cut or 0.0!r} THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__"
+    stages = [features.assembler(["flag_index", "quantity", "discount"]), SQLTransformer(statement=rule)]
+    training.save_model(PipelineModel(stages), uri)
+    at = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+    models.point("rule", "Live", models.register("rule", "1", uri, at), at)
+    return models
+
+
+def _requests(lines: DataFrame) -> DataFrame:
+    """Each line item as a request of two rows; by its number one of ten kinds, most of them faulty."""
+    q, d, f = F.col("l_quantity"), F.col("l_discount"), F.concat(F.lit('"'), "l_returnflag", F.lit('"'))
+    null, names = F.lit("null"), '"discount","quantity","flag"'
+
+    def body(columns: str, *rows: Sequence[Column]) -> Column:
+        data = F.concat_ws(",", *[F.concat(F.lit("["), F.concat_ws(",", *[c.cast("string") for c in row]), F.lit("]")) for row in rows])
+        return F.concat(F.lit('{"dataframe_split":{"columns":[' + columns + '],"data":['), data, F.lit("]}}"))
+
+    second = [F.lit("0.0"), q + 1, f]
+    kinds = [
+        F.lit("not json"),
+        body('"discount","flag"', [d, f], [d, f]),
+        body(names, [d, q, f], second[:2]),
+        body(names, [d, null, f], second),
+        body(names, [d, q, f], [F.lit("0.0"), F.lit('"many"'), f]),
+        body(names, [d, q, F.lit('"?"')], second),
+        body('"discount","quantity","flag","flag"', [d, q, f, f], [*second, f]),
+        body(names),
+        body(names, [null, q, f], second),
+        body('"other","flag","quantity","discount"', [F.lit('"x"'), f, q, d], [F.lit("1"), f, q + 1, F.lit("0.0")]),
+    ]
+    return lines.select("l_orderkey", "l_linenumber", F.get(F.array(*kinds), ((F.col("l_orderkey") + F.col("l_linenumber")) % 10).cast("int")).alias("request"))
+
+
+SQL_SCORED = f"""WITH flags AS ({_sql_ranks('l_returnflag')} FROM lineitem GROUP BY 1),
+    cut AS (SELECT round(avg(l_quantity * (1 - l_discount)), 4) AS cut FROM lineitem),
+    line AS (SELECT *, (l_orderkey + l_linenumber) % 10 AS kind FROM lineitem),
+    part AS (SELECT l_orderkey, l_linenumber, kind, unnest(CASE WHEN kind IN (0, 1, 6, 7) THEN [-1] ELSE [0, 1] END) AS pos, l_returnflag, l_quantity, l_discount FROM line),
+    cell AS (SELECT l_orderkey, l_linenumber, CASE WHEN pos >= 0 THEN CAST(pos AS INTEGER) END AS row_no,
+        CASE WHEN kind = 0 THEN 'unreadable' WHEN kind = 1 THEN 'missing_feature' WHEN kind = 6 THEN 'repeated_feature' WHEN kind = 7 THEN 'no_rows'
+            WHEN kind = 2 AND pos = 1 THEN 'wrong_length' WHEN kind = 3 AND pos = 0 OR kind = 4 AND pos = 1 THEN 'no_value' END AS problem,
+        CASE WHEN pos < 0 OR kind = 2 AND pos = 1 THEN NULL WHEN kind = 5 AND pos = 0 THEN '?' ELSE l_returnflag END AS flag,
+        CASE WHEN pos < 0 OR kind = 3 AND pos = 0 OR kind = 4 AND pos = 1 THEN NULL WHEN pos = 0 THEN l_quantity ELSE l_quantity + 1 END AS quantity,
+        CASE WHEN pos < 0 OR kind = 8 AND pos = 0 THEN NULL WHEN pos = 0 THEN l_discount ELSE 0.0 END AS discount FROM part)
+    SELECT l_orderkey, l_linenumber, row_no, problem, flag, quantity, discount, CASE WHEN problem IS NULL THEN
+        CASE WHEN quantity * (1 - coalesce(discount, 0.0)) - 5 * coalesce(index, (SELECT count(*) FROM flags)) > cut THEN 1.0 ELSE 0.0 END END AS prediction
+    FROM cell CROSS JOIN cut LEFT JOIN flags ON category = flag"""
+
+
+@query("score_requests", SQL_SCORED)
+def score_requests(spark, sf_dir):
+    """Requests of all kinds through a stored model: predictions, and what could not be scored with its reason."""
+    lines = table(spark, sf_dir, "lineitem")
+    good, bad = score_plan.score_requests(_requests(lines), "request", [], ["l_orderkey", "l_linenumber"], _rule_model(spark, lines), "rule", "Live")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query("score_batch")
 def score_batch(spark, sf_dir):
     """Every document, also those without a label, scored by the model fitted on the labelled ones."""

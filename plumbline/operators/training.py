@@ -113,6 +113,11 @@ def example_path(uri: str) -> str:
     return f"{uri}-example"
 
 
+def inputs_path(uri: str) -> str:
+    """Where the columns a model takes are stored."""
+    return f"{uri}-inputs"
+
+
 def save_model(model: PipelineModel, uri: str) -> None:
     model.write().overwrite().save(uri)
 

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators import features, registry, search, training
+from plumbline.operators import features, registry, scoring, search, training
+from plumbline.operators.scoring import Input
 from plumbline.operators.split import train_test
 from plumbline.session import build_session
 from plumbline.sources.tables import load_table, reused
@@ -22,6 +23,8 @@ EVENT_LABEL = "event_type"
 EVENT_CATEGORIES = ("user_id", "page")
 EVENT_NUMBERS = ("purchase_value",)
 TEST_SHARE, SPLIT_SEED = 0.2, 42
+# What the event model takes: a missing number is 0, a missing category has the index of unknown ones.
+EVENT_INPUTS = (*(Input(c, "string", required=False) for c in EVENT_CATEGORIES), *(Input(n, fill="0.0") for n in EVENT_NUMBERS))
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,7 @@ def retrain(
     *,
     categories: Sequence[str] = (),
     example: Sequence[str] = (),
+    inputs: Sequence[Input] = (),
     n_trials: int = search.N_TRIALS,
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
@@ -57,7 +61,8 @@ def retrain(
     """Rows are split by key, so every trial and the refit see the same two parts.
 
     ``categories`` are columns that become indexes before the stages; their index table is stored next to
-    the model, however many there are, and so are a few rows of the ``example`` columns.
+    the model, however many there are, and so are a few rows of the ``example`` columns and the ``inputs`` that scoring
+    has to give it, which are filled here as they will be there.
     """
     spark = df.sparkSession
     at = at or datetime.datetime.now(datetime.timezone.utc)
@@ -65,6 +70,9 @@ def retrain(
     uri = f"{models.root}/models/{name}/{run_id}"
     if example:
         training.input_example(df, key, list(example)).write.parquet(training.example_path(uri))
+    if inputs:
+        scoring.input_rows(spark, inputs).coalesce(1).write.parquet(training.inputs_path(uri))
+        df = df.withColumns({one.name: one.for_model(F.col(f"`{one.name}`")) for one in inputs})
     if categories:
         features.category_table(df, categories).write.parquet(training.categories_path(uri))
         df = features.index_categories(df, categories, spark.read.parquet(training.categories_path(uri)))
@@ -110,13 +118,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     df = load_table(spark, args.table)
     if args.text:
         df = df.select(args.key, args.text, F.col(args.label).alias("label"))
-        stages, categories, example = features.text_stages(args.text), (), (args.text,)
+        stages, categories, inputs = features.text_stages(args.text), (), (Input(args.text, "string", fill=""),)
     else:
-        df = df.fillna(0.0, list(EVENT_NUMBERS))
-        stages, categories, example = event_stages(), EVENT_CATEGORIES, (*EVENT_CATEGORIES, *EVENT_NUMBERS)
+        stages, categories, inputs = event_stages(), EVENT_CATEGORIES, EVENT_INPUTS
     made = retrain(
         df, stages, args.key, registry.Registry(spark, args.registry), args.name, args.alias,
-        categories=categories, example=example, n_trials=args.trials, parallelism=args.parallelism,
+        categories=categories, example=[one.name for one in inputs], inputs=inputs, n_trials=args.trials, parallelism=args.parallelism,
     )
     print(made)
 

@@ -64,6 +64,16 @@ def append_rows(df: DataFrame, ref: str, partition_by: Sequence[str] = ()) -> No
         writer.saveAsTable(ref)
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder, or nothing where there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_log(spark: SparkSession, ref: str, schema: str) -> DataFrame:
     """An append-only log, or an empty frame of its schema where nothing was written yet."""
     try:
