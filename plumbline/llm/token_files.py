@@ -16,11 +16,13 @@ a table of them with the number of ids before each, which no task needs to count
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,30 @@ _BLANK = re.compile(r"[ \t\n\r]")
 # white space of str.split that isn't one of these blanks, and so not known to part words
 _ODD = re.compile(r"[^\S \t\n\r]")
 #: Words whose ids a task keeps, and the longest such word.
-KNOWN, LONGEST = 1 << 18, 64
+KNOWN, LONGEST = 1 << 19, 64
+# Letters of one code point in any normal form, and marks that follow a word; in both no alternative of the split can begin but one.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# The normal form and the split for which words between blanks are independent.
+_NORMAL = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it can be printed, else the next free one from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printed]
+    return [chr(b) if b in printed else chr(256 + others.index(b)) for b in range(256)]
+
+
+def _parts_at_blanks(described: dict) -> bool:
+    """Whether a tokenizer's file says that it drops blanks and that nothing reaches across them."""
+    normal = [(n["type"], n.get("pattern", {}).get("Regex")) for n in (described.get("normalizer") or {}).get("normalizers", [])]
+    steps = (described.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if normal != _NORMAL or [s["type"] for s in steps] != ["Split", "ByteLevel"] or described.get("post_processor"):
+        return False
+    split, level = steps
+    plain = not any(t[k] for t in described["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized"))
+    return plain and split["pattern"] == {"Regex": _SPLIT} and split["invert"] and split["behavior"] == "Removed" and not (level["add_prefix_space"] or level["use_regex"])
 
 
 class Words(dict):
@@ -52,9 +77,24 @@ class Words(dict):
 
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = special_as_text
+        self.model, self.apart = self.own.model, _parts_at_blanks(json.loads(self.own.to_str()))
+        self.level = _byte_letters()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.own.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        plain = _PLAIN.fullmatch(word)
+        if plain is None:
+            ids = self._whole(word)
+        else:
+            letters, marks = plain.groups()
+            lower = letters.lower()
+            if lower != word:
+                ids = self[lower] + (self[marks] if marks else b"")
+            else:  # one match of the split in its normal form: the model takes it as it is
+                spelled = word if word.isascii() else "".join([self.level[b] for b in word.encode()])
+                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         if len(word) <= LONGEST:
             if len(self) >= KNOWN:
                 self.clear()
@@ -64,8 +104,11 @@ class Words(dict):
     def ids(self, text: str, size: int) -> list[np.ndarray]:
         """The ids of a text, a bounded number of characters at a time.
 
-        The tokenizer's normal form and its words never reach across a blank, so a text's ids are those of what lies between blanks.
+        The tokenizer's normal form and its words never reach across a blank, so a text's ids are those of what lies between blanks.  With a
+        tokenizer of another kind the text is encoded as a whole.
         """
+        if not self.apart:
+            return [np.frombuffer(self._whole(text), dtype="<u4")]
         out = []
         for piece in pieces(text, size):
             words = piece.split() if _ODD.search(piece) is None else [w for w in _BLANK.split(piece) if w]

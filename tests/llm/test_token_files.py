@@ -45,6 +45,22 @@ def test_words_between_blanks_give_the_ids_of_the_text(monkeypatch, special_as_t
     assert len(words) <= 20
 
 
+def test_every_letter_and_mark_alone_and_in_a_word(monkeypatch):
+    own, words = Tokenizer.from_file(PATH), token_files.Words(PATH, False)
+    assert words.apart
+    for c in [chr(k) for k in range(1, 0x250)] + ["\u0300", "ﬁ", "\u2028", "日"]:
+        for word in (c, f"ab{c}cd", f"Ab{c},", f"{c}x", f"Mot{c * 3}.", f"é{c}", f"don'{c}"):
+            got = [i for a in words.ids(word, 100) for i in a.tolist()]
+            assert got == own.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_tokenizer_that_keeps_blanks_gets_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, text = token_files.Words(path, False), "A text  with blanks\n and words " * 50
+    assert not words.apart
+    assert [i for a in words.ids(text, 10) for i in a.tolist()] == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_ids_come_back_in_the_order_of_documents(spark, tmp_path):
     docs = [(k * 7 % 101, f"Document {k} says: " + "some words, " * (k % 13) + ("é" * 300 if k == 5 else "")) for k in range(101)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
