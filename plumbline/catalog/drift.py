@@ -108,6 +108,43 @@ def drift_split_rows(spark, sf_dir):
     return split_at_fraction(orders, ["o_orderdate", "o_orderkey"], fraction=0.3)
 
 
+def _sql_first(order: str, fraction: float, columns: str = "o_orderkey", source: str = "orders") -> str:
+    return f"SELECT {columns}, row_number() OVER (ORDER BY {order}) <= floor(count(*) OVER () * {fraction}) AS is_ref FROM {source}"
+
+
+@query("drift_split_text", _sql_first("o_orderpriority, o_orderkey", 0.3, "o_orderkey, o_orderpriority"))
+def drift_split_text(spark, sf_dir):
+    """Every order with its side, along a text of few values."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return split_at_fraction(orders, ["o_orderpriority", "o_orderkey"], fraction=0.3)
+
+
+@query("drift_split_long_text", _sql_first("text, doc_id", 0.6, "doc_id", "documents"))
+def drift_split_long_text(spark, sf_dir):
+    """Every document with its side, along whole texts, many of which begin alike."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return split_at_fraction(documents, ["text", "doc_id"], fraction=0.6).select("doc_id", "is_ref")
+
+
+@query("drift_split_double", _sql_first("price, o_orderkey", 0.5, "o_orderkey, price", "(SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice / 7 ELSE o_totalprice END AS price FROM orders)"))
+def drift_split_double(spark, sf_dir):
+    """Every order with its side, along doubles of both signs."""
+    price = F.when(F.col("o_orderkey") % 3 == 0, -F.col("o_totalprice") / 7).otherwise(F.col("o_totalprice"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", price.alias("price"))
+    return split_at_fraction(orders, ["price", "o_orderkey"])
+
+
+@query(
+    "drift_split_decimal",
+    _sql_first("value DESC, o_orderkey", 0.25, "o_orderkey", "(SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) * 1000000000000 AS DECIMAL(38, 2)) AS value FROM orders)"),
+)
+def drift_split_decimal(spark, sf_dir):
+    """Every order with its side, along negative decimals of more digits than a long has."""
+    value = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(-(10**12)).cast("decimal(14,0)")).cast("decimal(38,4)")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value"))
+    return split_at_fraction(orders, ["value", "o_orderkey"], fraction=0.25).select("o_orderkey", "is_ref")
+
+
 @query(
     "drift_side_sizes",
     f"""WITH {SQL_LINEITEM_SIDES} SELECT count(*) AS n_rows, count(*) FILTER (is_ref) AS n_ref,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.operators.levels import Level, levels_of, plain
 from plumbline.session import ensure_checkpoint_dir
 
 # Buckets of one counting pass: 2**16 counts and one more at most reach the driver.
@@ -19,42 +21,17 @@ _PASS_BITS = 16
 _READ_ROWS = 1 << 16
 
 
-@dataclass(frozen=True)
-class _Level:
-    """One column of the order as a long that sorts alike."""
-
-    position: Column
-    # builds a predicate the scan can push down: rows from low to high, both included
-    between: object
-
-
-def _level(df: DataFrame, name: str) -> _Level:
-    column = F.col("`" + name.replace("`", "``") + "`")
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        def between(low, high):
-            return column.between(F.lit(low).cast("bigint"), F.lit(high).cast("bigint"))
-
-        return _Level(column.cast("bigint"), between)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        def between(low, high):
-            bounds = [F.timestamp_micros(F.lit(at).cast("bigint")).cast(kind) for at in (low, high)]
-            return column.between(*bounds)
-
-        return _Level(F.unix_micros(column.cast("timestamp")), between)
-    if isinstance(kind, T.DateType):
-        def between(low, high):
-            return column.between(*(F.date_from_unix_date(F.lit(at)) for at in (low, high)))
-
-        return _Level(F.unix_date(column).cast("bigint"), between)
-    raise TypeError(f"cannot split along {name!r} of type {kind.simpleString()}")
-
-
-def _hash_level(df: DataFrame) -> _Level:
+def _hash_level(df: DataFrame) -> Level:
     """A last tiebreak over whole rows, for orders that leave ties."""
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    hashed = F.xxhash64(*[F.col(f"`{name}`") for name in hashable])
-    return _Level(hashed, lambda low, high: hashed.between(F.lit(low), F.lit(high)))
+    return plain(F.xxhash64(*[F.col("`" + name.replace("`", "``") + "`") for name in hashable]))
+
+
+def _all_levels(df: DataFrame, order: Sequence[str]) -> Iterator[Iterator[Callable[[DataFrame], Level | None]]]:
+    """The levels of each column of the order, then that of whole rows."""
+    columns = [levels_of(df, name) for name in order]
+    last = _hash_level(df)
+    return iter([*columns, iter([lambda rows: last])])
 
 
 @dataclass(frozen=True)
@@ -76,7 +53,7 @@ class _Range:
     size: int
 
 
-def _bounds(df: DataFrame, level: _Level) -> tuple[int, int, _Range]:
+def _bounds(df: DataFrame, level: Level) -> tuple[int, int, _Range]:
     """Rows, rows without a value, and the range of all others."""
     seen = df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -88,7 +65,7 @@ def _bounds(df: DataFrame, level: _Level) -> tuple[int, int, _Range]:
     return seen.n, nulls, _Range(seen.low, seen.high, nulls, seen.filled)
 
 
-def _narrow(df: DataFrame, level: _Level, rank: int, around: _Range) -> _Range:
+def _narrow(df: DataFrame, level: Level, rank: int, around: _Range) -> _Range:
     """One counting pass: the bucket of ``around`` that holds the row at ``rank``."""
     shift = max(0, (around.high - around.low).bit_length() - _PASS_BITS)
     counted = (
@@ -109,7 +86,7 @@ def _narrow(df: DataFrame, level: _Level, rank: int, around: _Range) -> _Range:
     )
 
 
-def _value_at(df: DataFrame, level: _Level, rank: int, bounds=None) -> _Found:
+def _value_at(df: DataFrame, level: Level, rank: int, bounds=None) -> _Found:
     """The ``rank``-th smallest value (from 1): count ever narrower ranges, then read a small one."""
     _, nulls, around = bounds or _bounds(df, level)
     if rank <= nulls:
@@ -129,13 +106,13 @@ def _value_at(df: DataFrame, level: _Level, rank: int, bounds=None) -> _Found:
     return _Found(value, around.below + int(first), int(last - first))
 
 
-def _is(level: _Level, found: _Found) -> Column:
+def _is(level: Level, found: _Found) -> Column:
     if found.value is None:
         return level.position.isNull()
     return F.coalesce(level.between(found.value, found.value), F.lit(False))
 
 
-def _before(level: _Level, found: _Found) -> Column:
+def _before(level: Level, found: _Found) -> Column:
     if found.value is None:
         return F.lit(False)
     return level.position.isNull() | (level.position < F.lit(found.value))
@@ -148,12 +125,12 @@ def split_at_fraction(
 
     The row at the cut is found by counting: each pass is a scan with at most 65,537 counts as
     its result, and later passes only read the range that still matters.  The rows themselves
-    are neither sorted nor shuffled: the result is ``df`` plus one comparison.  NULLs sort
-    first.  Ties in the order are broken by a hash of the whole row; rows that are equal even
+    are neither sorted nor shuffled: the result is ``df`` plus one comparison.  Columns are numbers,
+    dates, times, texts, bytes or booleans, in Spark's order; NULLs sort first.  Ties in the order are broken by a hash of the whole row; rows that are equal even
     then are copies, of which the right number is marked.
     """
-    levels = [_level(df, name) for name in order] + [_hash_level(df)]
-    bounds = _bounds(df, levels[0])
+    columns = [list(itertools.islice(levels, 1)) + [levels] for levels in _all_levels(df, order)]
+    bounds = _bounds(df, columns[0][0](df))
     count = bounds[0]
     rank = math.floor(count * fraction)
     if rank <= 0:
@@ -164,16 +141,20 @@ def split_at_fraction(
     marked = F.lit(False)
     tied = F.lit(True)
     rows, wanted = df, rank
-    for level in levels:
-        found = _value_at(rows, level, wanted, bounds)
-        bounds = None
-        marked = marked | (tied & _before(level, found))
-        here = _is(level, found)
-        tied = tied & here
-        wanted -= found.below
-        if wanted == found.equal:
-            return df.withColumn(flag, marked | tied)
-        rows = rows.where(here)
+    for first, further in columns:
+        for ask in itertools.chain([first], further):
+            level = ask(rows)
+            if level is None:
+                break
+            found = _value_at(rows, level, wanted, bounds)
+            bounds = None
+            marked = marked | (tied & _before(level, found))
+            here = _is(level, found)
+            tied = tied & here
+            wanted -= found.below
+            if wanted == found.equal:
+                return df.withColumn(flag, marked | tied)
+            rows = rows.where(here)
     return _split_copies(df, flag, marked, tied, wanted)
 
 

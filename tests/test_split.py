@@ -1,13 +1,15 @@
 import datetime
+import decimal
 import math
 import random
+import struct
 
 import pytest
 from conftest import SF_ORACLE
 from pyspark.sql import functions as F
 
 from plumbline.catalog.base import table
-from plumbline.operators import split
+from plumbline.operators import levels, split
 from plumbline.operators.split import in_share, side_sizes, split_at_fraction, split_at_time, train_test
 
 
@@ -46,8 +48,74 @@ def test_dates_and_timestamps(spark):
 
 
 def test_unsortable_order_is_refused(spark):
-    with pytest.raises(TypeError):
-        split_at_fraction(frame(spark, ["a"], "string"), ["key"])
+    for kind in ("array<bigint>", "string collate utf8_lcase"):
+        with pytest.raises(TypeError):
+            split_at_fraction(frame(spark, [], kind), ["key"])
+
+
+def all_cuts(spark, df, keys, sort):
+    """Splits at several places agree with sorting; ties by id."""
+    expected = sorted(range(len(keys)), key=lambda i: (keys[i] is not None, sort(keys[i]) if keys[i] is not None else 0, i))
+    for fraction in (0.05, 0.35, 0.5, 0.8):
+        assert marked(split_at_fraction(df, ["key", "id"], fraction)) == set(expected[: math.floor(len(keys) * fraction)])
+
+
+@pytest.mark.parametrize("read_rows", [0, 1 << 16])
+def test_doubles(spark, monkeypatch, read_rows):
+    monkeypatch.setattr(split, "_READ_ROWS", read_rows)
+    source = random.Random(4)
+    edge = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf, -math.inf, math.nan, None, 1.0, 1.0000000000000002, 0.9999999999999999]
+    keys = edge + [-k for k in edge if k is not None] + [source.uniform(-1, 1) * 10.0 ** source.randint(-320, 300) for _ in range(60)]
+    keys += [2.0**k * j for k in range(-1074, 1023, 97) for j in (1, -1)] + [math.nextafter(2.0**k, 0) for k in range(-1000, 1023, 53)]
+    all_cuts(spark, frame(spark, keys, "double"), keys, lambda x: (math.isnan(x), 0 if math.isnan(x) else x))
+
+
+def test_bits_of_doubles(spark):
+    source = random.Random(5)
+    values = [2.0**k for k in range(-1074, 1024)] + [math.nextafter(2.0**k, 3e308) for k in range(-1074, 1023)] + [math.nextafter(2.0**k, 0) for k in range(-1073, 1024)]
+    values += [struct.unpack("<d", struct.pack("<q", source.getrandbits(63) % (2047 << 52)))[0] for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", levels.bits_of(F.col("v")).alias("b"), levels.bits_of(-F.col("v")).alias("n"))
+    for v, b, n in df.collect():
+        assert b == struct.unpack("<q", struct.pack("<d", v))[0] == -n
+        assert levels.double_of(b) == v and levels.double_of(n) == -v
+
+
+@pytest.mark.parametrize("read_rows", [0, 1 << 16])
+@pytest.mark.parametrize("kind", ["decimal(38,0)", "decimal(38,10)", "decimal(18,18)", "decimal(9,2)", "decimal(38,38)"])
+def test_decimals(spark, monkeypatch, read_rows, kind):
+    monkeypatch.setattr(split, "_READ_ROWS", read_rows)
+    precision, scale = map(int, kind[8:-1].split(","))
+    source = random.Random(6)
+    numbers = [0, 1, -1, 10**precision - 1, 1 - 10**precision] + [source.randrange(1 - 10**precision, 10**precision) for _ in range(40)]
+    numbers += [source.randrange(-100, 100) for _ in range(20)] + [source.choice([1, -1]) * (10**source.randrange(precision) + source.randrange(3)) for _ in range(30)]
+    with decimal.localcontext(prec=60):
+        keys = [None, None, *[decimal.Decimal(k % 10**precision if k > 0 else -(-k % 10**precision)).scaleb(-scale) for k in numbers]]
+    all_cuts(spark, frame(spark, keys, kind), keys, lambda x: x)
+
+
+@pytest.mark.parametrize("read_rows", [0, 3, 1 << 16])
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_texts(spark, monkeypatch, read_rows, kind):
+    monkeypatch.setattr(split, "_READ_ROWS", read_rows)
+    source = random.Random(7)
+    begin = ["", "a" * 5000, "long common beginning, ünd mehr 日本語 "]
+    keys = [None, "", "\0", "a", "a\0", "a\0\0b", "\U0010ffff", "\uffff", "é", "e\u0301", "z" * 7, "z" * 8, "z" * 14]
+    keys += [source.choice(begin) + "".join(source.choices("ab\0é", k=source.randint(0, 9))) for _ in range(120)]
+    if kind == "binary":
+        keys = [None if k is None else bytearray(k.encode()) + bytes([source.randrange(256)]) for k in keys]
+    all_cuts(spark, frame(spark, keys, kind), keys, lambda x: bytes(x) if kind == "binary" else x.encode())
+
+
+def test_booleans(spark):
+    keys = [True, False, None, True, False, True]
+    all_cuts(spark, frame(spark, keys, "boolean"), keys, int)
+
+
+def test_rows_are_neither_sorted_nor_shuffled(spark):
+    df = table(spark, SF_ORACLE, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    for order in (["o_orderpriority", "o_orderkey"], ["o_totalprice"]):
+        plan = split_at_fraction(df, order)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
 
 
 def test_ties_are_broken_by_the_whole_row_in_any_layout(spark):
