@@ -105,7 +105,7 @@ def drift_report(
     """
     names = list(columns)
     n_rows = df.count()
-    n_edges = distribution.edges_for(n_rows, len(names))
+    n_edges = distribution.edges_for(n_rows)
     facts = table_facts(df, names, flag, n_edges)
     facts = settle_distinct(df, facts, rules.roles)
     roles = infer_roles(facts, rules.roles)
@@ -115,8 +115,8 @@ def drift_report(
     parts: list[DataFrame] = []
     numeric = [name for name, role in roles.items() if role == NUMERIC]
     if numeric:
-        edges = {name: facts.columns[name].edges for name in numeric}
-        distances = distribution.numeric_distances(df, numeric, flag, edges)
+        ranges = distribution.ranges_of(facts, numeric, n_edges)
+        distances = distribution.numeric_distances(df, numeric, flag, ranges=ranges)
         shape = distribution.kolmogorov_smirnov if small else distribution.normed_wasserstein
         parts.append(_judged(shape(distances), NUMERIC, tests, rules))
     categorical = [name for name, role in roles.items() if role == CATEGORICAL]

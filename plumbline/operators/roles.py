@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -38,6 +39,8 @@ class ColumnFacts:
     n_cur: int
     distinct: int
     edges: tuple[float, ...] = ()
+    # values that fill more than one of the quantiles that are the edges
+    heavy: tuple[float, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -138,6 +141,7 @@ def table_facts(
             row[f"cur_{at}"] or 0,
             (row[f"distinct_{at}"] or 0) if with_distinct else 0,
             tuple(sorted(set(edges or ()))),
+            tuple(sorted(value for value, n in Counter(edges or ()).items() if n > 1)),
         )
     return TableFacts(row["n_ref"] or 0, row["n_cur"] or 0, facts)
 

@@ -59,6 +59,26 @@ def test_distances_do_not_depend_on_partitions(spark, parts):
     assert measured(df, edges["x"]) == pytest.approx(brute(ref, cur), abs=1e-12)
 
 
+@pytest.mark.parametrize("edges", [1, 7, 20_000])
+@pytest.mark.parametrize("unique", [False, True])
+def test_buckets_are_cut_until_they_fit(spark, edges, unique):
+    source = random.Random(8)
+    ref = [source.choice([0.0, 0.0, source.lognormvariate(0, 30), -1e100, float(k % 9)]) for k in range(900)]
+    cur = [source.choice([0.0, source.lognormvariate(1, 30), 5e-324, 1e100]) for _ in range(700)]
+    df = sides(spark, ref, cur)
+    given = {"x": [source.uniform(-10, 10) for _ in range(edges)] if edges < 100 else [k / 100 - 100 for k in range(edges)]}
+    given["x"].sort()
+    ranges = distribution.Ranges(given, {"x": (0.0,)} if unique else {})
+    want = pytest.approx(brute(ref, cur), rel=1e-9)
+    row = distribution.numeric_distances(df, ["x"], ranges=ranges, most=5).first()
+    assert (row.ks, row.wasserstein) == want
+    counts = distribution.value_counts(df, ["x"], ranges, most=5)
+    sizes = counts.groupBy("bucket").agg(F.count("*").alias("values"), F.sum(F.col("r") + F.col("c")).alias("rows")).collect()
+    assert all(s["values"] == 1 or s["values"] <= 10 for s in sizes)
+    assert counts.agg(F.sum(F.col("r") + F.col("c"))).first()[0] == 1600
+    assert counts.count() == len(set(ref + cur))
+
+
 def test_many_edges_of_many_columns_are_asked_for_in_seconds(spark):
     import time
 

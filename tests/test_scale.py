@@ -82,13 +82,19 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
     assert first != second and first.startswith(named)
 
 
-def test_edges_stay_within_the_broadcast_bound():
-    assert distribution.edges_for(100, 4) == 0
-    assert distribution.edges_for(1_000_000, 4) == 19
-    assert distribution.edges_for(10**13, 1) == distribution.MAX_EDGES
-    for n_columns in (1, 61, 62, 1000, 10**6):
-        buckets = (distribution.edges_for(10**13, n_columns) + 1) * n_columns
-        assert buckets <= max(distribution.MAX_BUCKETS, n_columns)
+def test_first_edges_are_few_at_any_size():
+    assert distribution.edges_for(100) == 0
+    assert distribution.edges_for(1_000_000) == 19
+    assert distribution.edges_for(10**13) == distribution.FIRST_EDGES
+
+
+def test_nearly_unique_columns_are_shuffled_once(spark, sides):
+    prices = sides.withColumn("price", F.col("l_extendedprice") + F.rand(1))
+    edges = distribution.find_edges(prices, ["price"], count=8)
+    for unique, shuffles in (({}, 2), ({"price": ()}, 1)):
+        counts = distribution.value_counts(prices, ["price"], distribution.Ranges(edges, unique))
+        executed = counts._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") == shuffles, executed
 
 
 def shape(df):
