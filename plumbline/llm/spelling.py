@@ -4,7 +4,8 @@ One inserted, deleted or replaced letter moves a word's vector of letter counts
 one step up and one down for words of one length, by one step up towards words one longer.  A tree cuts the space of (length,
 letter counts) into boxes; a word is sent to its own box as a target, and as a query to every box that its few steps
 can reach, for its own length and for the next.  Within a box each length has a tree of its own, whose branches are pruned in the same
-way; pairs that stay are verified letter by letter.  Letters share counts modulo a small alphabet, which only brings words nearer.
+way; at their ends counts are compared as bits, and pairs that stay are verified letter by letter.  Letters share counts modulo a small alphabet, which
+only brings words nearer.
 
 The upper tree is fitted on a bounded sample of words; every word is dealt by it, and no pair depends on where it cuts.  A box that
 still holds too much is dealt into blocks of its targets and of its queries.
@@ -28,7 +29,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Counted letters: a to z, and six shares of the rest.
 LETTERS = 32
 #: Words that the upper tree is fitted on, words of a box, words of a branch's end, queries of a block, pairs verified at a time.
-SAMPLE, BOX, END, QUERIES, PAIRS = 1 << 16, 1 << 13, 24, 1 << 16, 1 << 15
+SAMPLE, BOX, END, QUERIES, PAIRS = 1 << 16, 1 << 15, 96, 1 << 18, 1 << 17
 
 
 def occurrences(docs: DataFrame, id_column: str, text_column: str, least: int, deletions: int | None) -> DataFrame:
@@ -62,6 +63,11 @@ def letters(words: list[str]) -> np.ndarray:
     return np.concatenate([lengths[:, None], counts], axis=1).astype(np.int32)
 
 
+def marks(points: np.ndarray) -> np.ndarray:
+    """Letter counts as 64 bits, one for once and one for twice or more: as many bits differ as counts do, or fewer."""
+    return np.packbits(np.concatenate([points[:, 1:] >= 1, points[:, 1:] >= 2], axis=1), axis=1).view(np.uint64).ravel()
+
+
 @dataclass
 class Tree:
     """Inner nodes: ``axis`` and ``cut`` (values up to it go left) with children; ends: ``axis`` -1 and the place of the box."""
@@ -183,21 +189,21 @@ def near_pairs(targets: list[str], queries: list[str]) -> Iterator[tuple[np.ndar
         some = [targets[k] for k in places]
         points = letters(some)
         tree, ends = grow(points, END)
-        spelled, places = _spelled(some), np.array(places)
+        spelled, places, bits = _spelled(some), np.array(places), marks(points)
         for longer in (0, 1):
             asked = asking.get(length - longer)
             if not asked:
                 continue
             own = [queries[k] for k in asked]
             vectors, written_out, asked = letters(own), _spelled(own), np.array(asked)
+            own_bits = marks(vectors)
             check = _one_longer if longer else _same_length
             for box, some_asked in reached(tree, vectors, longer, False):
                 at = ends[box]
                 rows = max(1, PAIRS // len(at))
                 for k in range(0, len(some_asked), rows):
                     q = some_asked[k : k + rows]
-                    apart = np.abs(vectors[q, None, 1:] - points[None, at, 1:]).sum(axis=2, dtype=np.int64)
-                    i, j = np.nonzero(apart <= (1 if longer else 2))
+                    i, j = np.divmod(np.flatnonzero(np.bitwise_count(own_bits[q, None] ^ bits[None, at]) <= (1 if longer else 2)), len(at))
                     i, j = q[i], at[j]
                     for x in range(0, len(i), max(1, (1 << 22) // length)):
                         y = slice(x, x + max(1, (1 << 22) // length))
@@ -237,14 +243,16 @@ def _compare(table: pa.Table) -> pa.Table:
     targets, queries = (table.filter(pa.array(role == k)) for k in (0, 1))
     t_words, q_words = (x.column("word").combine_chunks() for x in (targets, queries))
     t_n, q_n = (x.column("n").to_numpy() for x in (targets, queries))
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("near", pa.string()), ("near_n", pa.int64())])
-    parts = [schema.empty_table()]
-    for q, t, longer in near_pairs(t_words.to_pylist(), q_words.to_pylist()):
-        a, b = q_words.take(pa.array(q)).cast(pa.string()), t_words.take(pa.array(t)).cast(pa.string())
-        parts.append(pa.Table.from_arrays([a, pa.array(q_n[q]), b, pa.array(t_n[t])], schema=schema))
-        if longer:  # a word only asks for longer ones; within a length each asks for the other
-            parts.append(pa.Table.from_arrays([b, pa.array(t_n[t]), a, pa.array(q_n[q])], schema=schema))
-    return pa.concat_tables(parts)
+    asked, found, longer = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=bool)]
+    for q, t, by in near_pairs(t_words.to_pylist(), q_words.to_pylist()):
+        asked.append(q)
+        found.append(t)
+        longer.append(np.full(len(q), bool(by)))
+    q, t, back = (np.concatenate(x) for x in (asked, found, longer))
+    # a word only asks for longer ones, so these are told here; within a length each asks for the other
+    words = [pa.concat_arrays([a.take(pa.array(x)), b.take(pa.array(y[back]))]) for a, x, b, y in ((q_words, q, t_words, t), (t_words, t, q_words, q))]
+    counts = [pa.array(np.concatenate(x)) for x in ((q_n[q], t_n[t[back]]), (t_n[t], q_n[q[back]]))]
+    return pa.Table.from_arrays([words[0], counts[0], words[1], counts[1]], ["word", "n", "near", "near_n"])
 
 
 def pairs(words: DataFrame) -> DataFrame:
@@ -266,7 +274,8 @@ def pairs(words: DataFrame) -> DataFrame:
     every = [F.sequence(F.lit(0), F.col(f"b{r}") - 1) for r in (0, 1)]
     placed = dealt.withColumn("t", F.explode(F.when(F.col("role") == 0, F.array(own[0])).otherwise(every[0])))
     placed = placed.withColumn("q", F.explode(F.when(F.col("role") == 1, F.array(own[1])).otherwise(every[1])))
-    groups = placed.select("box", "t", "q", "role", "word", "n").groupBy("box", "t", "q")
+    tasks = partitions(words.sparkSession)  # a box is much work for few bytes
+    groups = placed.select("box", "t", "q", "role", "word", "n").repartition(tasks, "box", "t", "q").groupBy("box", "t", "q")
     return groups.applyInArrow(_compare, "word string, n long, near string, near_n long")
 
 

@@ -127,6 +127,15 @@ def test_runs_of_a_hundred_thousand_letters(spark):
     assert out == {(100_000, "a"): 1, (100_001, "a"): 1, (100_000, "É"): 0}
 
 
+def test_marks_never_tell_near_words_apart():
+    draw = random.Random(9)
+    for _ in range(500):
+        word = "".join(draw.choices("aaabcé", k=draw.randint(1, 9)))
+        at, letter = draw.randrange(len(word)), draw.choice("abxé")
+        bits = spelling.marks(spelling.letters([word, word[:at] + letter + word[at + 1 :], word[:at] + letter + word[at:]]))
+        assert (bits[0] ^ bits[1]).item().bit_count() <= 2 and (bits[0] ^ bits[2]).item().bit_count() <= 1
+
+
 def test_counts_of_letters():
     points = spelling.letters(["abca", "é×"])
     assert points[:, 0].tolist() == [4, 2]
