@@ -11,6 +11,7 @@ from plumbline.catalog.base import SQL_V1, query, staged_v1, table
 from plumbline.operators import categories, distribution
 from plumbline.operators.drift import drift_report, drift_summary
 from plumbline.operators.gauges import drift_gauges
+from plumbline.operators.ranks import areas
 from plumbline.operators.roles import infer_roles, settle_distinct, table_facts
 from plumbline.operators.split import side_sizes, split_at_fraction, split_at_time
 from plumbline.operators.text_drift import domain_auc
@@ -428,6 +429,35 @@ def drift_gauges_events(spark, sf_dir):
     )
 
 
+def _sql_areas(source: str, columns: list[str]) -> str:
+    parts = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x, flag FROM {source} WHERE {c} IS NOT NULL" for c in columns)
+    return f"""vals AS ({parts}),
+    ranked AS (SELECT col, flag, rank() OVER (PARTITION BY col ORDER BY x) AS first_rank, count(*) OVER (PARTITION BY col, x) AS same FROM vals),
+    sums AS (SELECT col, sum(first_rank + (same - 1) / 2.0) FILTER (flag) AS ranks, count(*) FILTER (flag) AS p, count(*) FILTER (NOT flag) AS n FROM ranked GROUP BY 1)
+    SELECT col AS "column", round((ranks - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), 9) AS auc, p AS n_pos, n AS n_neg FROM sums"""
+
+
+@query(
+    "score_auc",
+    f"WITH scored AS (SELECT *, l_returnflag = 'R' AS flag FROM lineitem), {_sql_areas('scored', LINEITEM_NUMBERS)}",
+)
+def score_auc(spark, sf_dir):
+    """How well each number of a line item tells returned ones from the rest; most of them have many ties."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("flag", F.col("l_returnflag") == "R")
+    return areas(lines, LINEITEM_NUMBERS, "flag").withColumn("auc", F.round("auc", 9))
+
+
+@query(
+    "score_auc_documents",
+    f"WITH scored AS (SELECT n_chars, d.doc_id, quality = 1 AS flag FROM documents d JOIN labels l ON d.doc_id = l.doc_id), {_sql_areas('scored', ['n_chars', 'doc_id'])}",
+)
+def score_auc_documents(spark, sf_dir):
+    """How well a document's length tells its quality, and how badly its number does."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("flag"))
+    scored = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(labels, "doc_id")
+    return areas(scored, ["n_chars", "doc_id"], "flag").withColumn("auc", F.round("auc", 9))
+
+
 @query("drift_text_classifier")
 def drift_text_classifier(spark, sf_dir):
     """How well a classifier tells the first half of the documents from the rest."""
