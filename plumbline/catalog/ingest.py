@@ -11,9 +11,11 @@ from plumbline.catalog.base import SQL_PAGE, SQL_V2, query, staged_v2, table, vi
 from plumbline.operators.payload import fill_missing, parse_events, stage_events
 from plumbline.operators.profile import profile
 from plumbline.session import scratch_path
+from plumbline.sources.log import append_batch, load_version
 from plumbline.sources.streams import replay_events
-from plumbline.sources.tables import as_of
-from plumbline.streaming.ingest import block_on, start_ingest
+from plumbline.sources.tables import as_of, load_table
+from plumbline.streaming.batches import replace_batch
+from plumbline.streaming.ingest import block_on, start_batch_ingest
 
 
 def payload(timestamp: Column | None = None) -> Column:
@@ -70,12 +72,11 @@ def ingest_malformed_rows(spark, sf_dir):
     round(sum(value), 6) AS total_value FROM events GROUP BY 1""",
 )
 def ingest_stream_minute_counts(spark, sf_dir):
-    """All events through the stream: payload files in, minute partitions out, then counted."""
+    """All events through the stream: payload files in, ranges of minutes out, then counted."""
     replay, sink, log = (scratch_path(spark, name) for name in ("replay", "bronze", "progress"))
     raw_events(spark, sf_dir).select(F.col("value").cast("string")).write.text(replay)
-    stream = start_ingest(replay_events(spark, replay), sink, log, interval=None, files_per_minute=1)
-    block_on(stream)
-    bronze = spark.read.parquet(sink)
+    block_on(start_batch_ingest(replay_events(spark, replay), sink, log, interval=None, rows_per_file=20_000))
+    bronze = load_version(spark, sink)
     return bronze.groupBy("event_minute").agg(
         F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 6).alias("total_value")
     )
@@ -124,3 +125,24 @@ def versioned_read(spark, sf_dir):
     return then.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("last_ts")
     )
+
+
+@query(
+    "versioned_read_batch",
+    """SELECT v.version, event_type, count(*) AS n_events, max(ts) AS last_ts, sum(event_id)::BIGINT AS id_sum
+    FROM (SELECT unnest([0, 1, 2]) AS version) v JOIN events ON event_id % 5 % 4 <= v.version AND event_id % 5 <> 3 GROUP BY 1, 2""",
+)
+def versioned_read_batch(spark, sf_dir):
+    """The event log at each of its three versions; a fourth append, and one under a number in between, never finished."""
+    events, log = table(spark, sf_dir, "events"), scratch_path(spark, "log")
+    slot = F.col("event_id") % 5
+    append_batch(events.where(slot.isin(0, 4)), log)
+    append_batch(events.where(slot == 2), log)  # replaced by its repeat
+    append_batch(events.where(slot == 1), log, 1)
+    append_batch(events.where(slot == 2), log)
+    replace_batch(events.where(slot == 3), log, 3)
+    at = [load_table(spark, log, version=v).withColumn("version", F.lit(v)) for v in range(3)]
+    rows = at[0].unionByName(at[1]).unionByName(at[2])
+    return rows.groupBy("version", "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("last_ts"), F.sum("event_id").alias("id_sum")
+    )

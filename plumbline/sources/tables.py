@@ -24,10 +24,14 @@ def load_table(
 ) -> DataFrame:
     """A catalog table by name or a parquet folder by path.
 
-    ``version`` asks a table format that keeps versions for an earlier one; it needs that
-    format's jar on the classpath.  Tables without versions use :func:`as_of`.
+    ``version`` asks for an earlier version: of a folder that appends were numbered in (see ``log``), or of a
+    table format that keeps versions, whose jar has to be on the classpath.  Tables without versions use :func:`as_of`.
     """
     if version is not None:
+        from plumbline.sources import log
+
+        if is_path(ref) and log.has_versions(spark, ref):
+            return log.load_version(spark, ref, version)
         reader = spark.read.format(versioned_format).option("versionAsOf", version)
         return reader.load(ref) if is_path(ref) else reader.table(ref)
     return spark.read.parquet(ref) if is_path(ref) else spark.table(ref)

@@ -1,8 +1,13 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from plumbline.operators.payload import parse_events
+from plumbline.sources.log import append_batch, commits, has_versions, load_version
 from plumbline.sources.streams import kafka_events, replay_events
-from plumbline.streaming.ingest import block_on, start_ingest
+from plumbline.sources.tables import load_table, minutes_between
+from plumbline.streaming.batches import replace_batch
+from plumbline.streaming.ingest import block_on, deal_files, start_batch_ingest, start_ingest
 
 
 def line(user, second, kind="click"):
@@ -84,3 +89,64 @@ def test_continuous_trigger_runs_until_stopped(spark, places):
 def test_kafka_source_asks_for_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_events(spark, "nowhere:9092")
+
+
+def batches(spark, places, **options):
+    replay, sink, log = places
+    assert block_on(start_batch_ingest(replay_events(spark, str(replay)), sink, log, interval=None, **options), 120)
+    return load_version(spark, sink)
+
+
+def test_batches_equal_the_parsed_rows_and_have_versions(spark, places):
+    replay, sink, _ = places
+    (replay / "a.txt").write_text("\n".join([*(line(f"u{i}", i * 30) for i in range(6)), "not json"]) + "\n")
+    first = rows(batches(spark, places, rows_per_file=2))
+    assert first == rows(parse_events(spark.read.text(str(replay))))
+    assert rows(batches(spark, places)) == first
+    (replay / "b.txt").write_text(line("late", 5) + "\n")
+    assert len(rows(batches(spark, places))) == len(first) + 1
+    assert rows(load_table(spark, sink, version=0)) == first
+    assert [(r.batch_id, r.n_rows) for r in commits(spark, sink).orderBy("batch_id").collect()] == [(0, 7), (1, 1)]
+    with pytest.raises(LookupError, match="newest is 1"):
+        load_table(spark, sink, version=2)
+
+
+def test_files_hold_about_as_many_rows_whatever_the_minutes(spark):
+    lines = [line("same", 1)] * 400 + [line(f"u{i}", 60 + i * 7) for i in range(60)] + ["broken"] * 30
+    bronze = parse_events(spark.createDataFrame([(x,) for x in lines], "value string").repartition(3))
+    dealt = deal_files(bronze, 50)
+    files = dealt.groupBy(F.spark_partition_id().alias("file")).agg(F.count("*").alias("n"), F.collect_set("event_minute").alias("minutes")).collect()
+    assert sum(f.n for f in files) == 490 and max(f.n for f in files) < 150
+    assert sum(f.minutes == ["2024-01-01-00-00"] for f in files) == 8
+    assert rows(dealt) == rows(bronze)
+    assert deal_files(bronze.limit(0), 50).count() == 0
+
+
+def test_scans_skip_files_and_batches(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for k in range(3):
+        append_batch(spark.createDataFrame([(k, f"2024-01-0{k + 1}-00-00")], "a int, event_minute string"), path)
+    replace_batch(spark.createDataFrame([(9, "2024-01-09-00-00")], "a int, event_minute string"), path, 7)
+    assert [r.a for r in load_version(spark, path).orderBy("a").collect()] == [0, 1, 2]
+    plan = minutes_between(load_table(spark, path, version=1), "2024-01-01", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "GreaterThanOrEqual(event_minute" in plan
+    assert load_table(spark, path).count() == 4  # without versions in mind, all that lies there
+
+
+def test_a_failed_batch_is_no_part_of_any_version(spark, places, monkeypatch):
+    from plumbline.streaming import ingest
+
+    replay, sink, log = places
+    (replay / "a.txt").write_text(line("u", 1) + "\n" + line("v", 2) + "\n")
+    real = ingest.append_batch
+
+    def lost(rows, path, batch_id):
+        replace_batch(rows.limit(1), path, batch_id)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "append_batch", lost)
+    with pytest.raises(Exception, match="lost"):
+        block_on(start_batch_ingest(replay_events(spark, str(replay)), sink, log, interval=None), 120)
+    assert not has_versions(spark, sink)
+    monkeypatch.setattr(ingest, "append_batch", real)
+    assert batches(spark, places).count() == 2
