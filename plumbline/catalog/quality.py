@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import functions as F
+
 from plumbline.catalog.base import SQL_V2, query, staged_v2, table
+from plumbline.operators.definitions import SUITE, Checkpoint, Definitions
 from plumbline.operators.expectations import Between, ColumnExists, InSet, NotNull, OfType
 from plumbline.operators.gauges import validation_gauge
 from plumbline.operators.suite import (
@@ -17,6 +20,7 @@ from plumbline.operators.suite import (
     run_checkpoint,
     run_suite,
 )
+from plumbline.session import scratch_path
 
 RUN = Run.starting(datetime.datetime(2024, 2, 1, 12, 0, 0))
 SQL_RUN = "'delta_validation_run_20240201_120000' AS run_id, TIMESTAMP '2024-02-01 12:00:00' AS run_time"
@@ -54,6 +58,7 @@ def _sql_values(suite, ordinal, kind, column, mostly, bad, source="stg", where="
     return f"{row} FROM {source}"
 
 
+# The value sets and the range of the staged events' suite, as the SQL has them.
 TYPES_SQL = "event_type NOT IN ('click', 'page_view', 'purchase', 'add_to_cart')"
 PAGES_SQL = "page NOT IN ('/home', '/products/1', '/products/2', '/cart', '/checkout')"
 RANGE_SQL = "purchase_value < 5.0 OR purchase_value > 100.0"
@@ -138,6 +143,69 @@ def dq_row_condition(spark, sf_dir):
     return run_suite(_staged(spark, sf_dir), Suite("conditions", checks), RUN)
 
 
+SQL_CONDITION_TEXT = " UNION ALL ".join(
+    [
+        _sql_values("texts", 0, "between", "purchase_value", 0.95, RANGE_SQL, where="event_type = 'purchase'"),
+        _sql_values("texts", 1, "between", "purchase_value", 0.95, RANGE_SQL, where="event_type = 'purchase'"),
+        _sql_values(
+            "texts", 2, "in_set", "page", 0.2, "page NOT IN ('/cart')",
+            where="event_type IN ('click', 'page_view') AND NOT (page = '/home' OR ts < TIMESTAMP '2024-01-10 00:00:00') AND purchase_value IS NULL",
+        ),
+        _sql_schema_check("texts", 3, "between", "purchase_value", "false").replace("count(*) AS element_count", "CAST(NULL AS BIGINT) AS element_count").replace(
+            "CAST(NULL AS DOUBLE) AS mostly", "CAST(1.0 AS DOUBLE) AS mostly"
+        ).replace(" FROM stg", ""),
+    ]
+)
+
+
+@query("dq_condition_text", f"WITH {SQL_V2} {SQL_CONDITION_TEXT}")
+def dq_condition_text(spark, sf_dir):
+    """Conditions in both languages; one that names no column fails its check alone."""
+    limits = {"mostly": 0.95, "low": 5.0, "high": 100.0}
+    checks = (
+        Between("purchase_value", row_condition="event_type = 'purchase'", **limits),
+        Between("purchase_value", row_condition='col("event_type") == "purchase"', condition_language="col", **limits),
+        InSet(
+            "page",
+            mostly=0.2,
+            row_condition='col("event_type") in ["click", "page_view"] and not (col("page") == "/home" or col("ts") < "2024-01-10") and col("purchase_value").isNull()',
+            condition_language="col",
+            values=("/cart",),
+        ),
+        Between("purchase_value", row_condition='col("event_kind") == "purchase"', condition_language="col", low=5.0, high=100.0),
+    )
+    return run_suite(_staged(spark, sf_dir), Suite("texts", checks), RUN)
+
+
+def _sql_unusual(column: str) -> str:
+    return f"CASE event_id % 7 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN '-Infinity'::DOUBLE WHEN 3 THEN NULL ELSE {column} END"
+
+
+def unusual(column: str):
+    """A number column with NaN, infinite and missing values among the others."""
+    kind = F.col("event_id") % 7
+    number = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).when(kind == 2, float("-inf"))
+    return number.when(kind > 3, F.col(column))
+
+
+@query(
+    "dq_between_nan",
+    f"WITH stg AS (SELECT {_sql_unusual('value')} AS x FROM events) "
+    + " UNION ALL ".join(
+        [
+            _sql_values("nan", 0, "between", "x", 0.4, "isnan(x) OR x < 5.0 OR x > 100.0"),
+            _sql_values("nan", 1, "between", "x", 0.4, "isnan(x) OR x < 5.0"),
+            _sql_values("nan", 2, "between", "x", 0.4, "isnan(x) OR x > 100.0"),
+        ]
+    ),
+)
+def dq_between_nan(spark, sf_dir):
+    """NaN lies outside of every range, infinite values where they sort."""
+    rows = table(spark, sf_dir, "events").select(unusual("value").alias("x"))
+    ends = ({"low": 5.0, "high": 100.0}, {"low": 5.0}, {"high": 100.0})
+    return run_suite(rows, Suite("nan", tuple(Between("x", mostly=0.4, **e) for e in ends)), RUN)
+
+
 _NAME = USER_EVENTS_SUITE.name
 SQL_USER_EVENTS = " UNION ALL ".join(
     [
@@ -253,3 +321,31 @@ def dq_gauge(spark, sf_dir):
     return made.selectExpr(
         "run_time", "job", "name", "help", "labels['table_name'] AS table_name", "value"
     )
+
+
+@query(
+    "stored_suite",
+    " UNION ALL ".join(
+        [
+            _sql_values("stored", 0, "in_set", "o_orderstatus", 1.0, "o_orderstatus NOT IN ('O', 'P', 'F')", "orders"),
+            _sql_values(
+                "stored", 1, "between", "o_orderdate", 0.9, "o_orderdate < TIMESTAMP '1996-01-01' OR o_orderdate > TIMESTAMP '1999-06-01'", "orders",
+                "o_orderpriority = '1-URGENT'",
+            ),
+            _sql_not_null("other", 0, "l_shipdate", "lineitem"),
+        ]
+    ),
+)
+def stored_suite(spark, sf_dir):
+    """A stored checkpoint over two stored suites, one of which was changed since and one dropped and added again."""
+    kept = Definitions(spark, scratch_path(spark, "definitions"))
+    kept.add_or_update(Suite("stored", (NotNull("o_custkey"),)))
+    kept.add_or_update(Suite("other", (NotNull("l_comment"), ColumnExists("nothing"))))
+    kept.add_or_update(Checkpoint("nightly", ((f"{sf_dir}/orders.parquet", "other"),)))
+    days = [datetime.datetime(1996, 1, 1), datetime.datetime(1999, 6, 1)]
+    urgent = {"row_condition": 'col("o_orderpriority") == "1-URGENT"', "condition_language": "col"}
+    kept.add_or_update(Suite("stored", (InSet("o_orderstatus", values=("O", "P", "F")), Between("o_orderdate", mostly=0.9, low=days[0], high=days[1], **urgent))))
+    kept.drop(SUITE, "other")
+    kept.add_or_update(Suite("other", (NotNull("l_shipdate"),)))
+    kept.add_or_update(Checkpoint("nightly", ((f"{sf_dir}/orders.parquet", "stored"), (f"{sf_dir}/lineitem.parquet", "other"))))
+    return kept.run("nightly", RUN)

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from plumbline.operators.conditions import ConditionError, parse
+
+SQL_CONDITION, COL_CONDITION = "sql", "col"
+
 
 @dataclass(frozen=True, kw_only=True)
 class Counters:
@@ -80,6 +84,8 @@ class ValueExpectation(Expectation):
 
     mostly: float = 1.0
     row_condition: str | None = None
+    # "sql", or "col" for conditions such as col("event_type") == "purchase"
+    condition_language: str = SQL_CONDITION
 
     @property
     def tolerance(self) -> float:
@@ -104,24 +110,32 @@ class ValueExpectation(Expectation):
         if self.row_condition is None:
             return True
         try:
-            counters = self.counters()
+            condition = self.condition(df.schema)
+            counters = self.counters(df.schema)
             df.agg(counters.elements, counters.missing, counters.unexpected).schema  # noqa: B018
-            return isinstance(df.select(self._condition()).schema[0].dataType, T.BooleanType)
-        except AnalysisException:
+            return isinstance(df.select(condition).schema[0].dataType, T.BooleanType)
+        except (AnalysisException, ConditionError):
             return False
 
-    def _condition(self) -> Column:
-        return F.lit(True) if self.row_condition is None else F.expr(self.row_condition)
-
-    def _count(self, of: Column) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
+        """Which rows of this schema are elements of the check."""
+        if self.row_condition is None:
+            return F.lit(True)
+        if self.condition_language == COL_CONDITION:
+            return parse(self.row_condition, schema)
+        if self.condition_language == SQL_CONDITION:
+            return F.expr(self.row_condition)
+        raise ConditionError(f"unknown condition language {self.condition_language!r}")
+
+    def _count(self, of: Column, schema: T.StructType) -> Column:
         if self.row_condition is None:
             return F.count_if(of)
-        return F.count_if(self._condition() & of)
+        return F.count_if(self.condition(schema) & of)
 
-    def counters(self) -> Counters:
-        elements = self._count(F.lit(True))
-        missing = self._count(self.value.isNull())
-        unexpected = self._count(self.value.isNotNull() & self.violated())
+    def counters(self, schema: T.StructType) -> Counters:
+        elements = self._count(F.lit(True), schema)
+        missing = self._count(self.value.isNull(), schema)
+        unexpected = self._count(self.value.isNotNull() & self.violated(), schema)
         return Counters(
             elements=elements,
             missing=missing,
@@ -137,9 +151,9 @@ class NotNull(ValueExpectation):
     def violated(self) -> Column:
         return self.value.isNull()
 
-    def counters(self) -> Counters:
-        elements = self._count(F.lit(True))
-        missing = self._count(self.value.isNull())
+    def counters(self, schema: T.StructType) -> Counters:
+        elements = self._count(F.lit(True), schema)
+        missing = self._count(self.value.isNull(), schema)
         return Counters(
             elements=elements, missing=missing, unexpected=missing, considered=elements
         )

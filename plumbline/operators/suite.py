@@ -7,7 +7,6 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.expectations import (
     Between,
     ColumnExists,
+    Counters,
     Expectation,
     InSet,
     NotNull,
@@ -74,30 +74,65 @@ def _within(tolerance: float, considered: Column, unexpected: Column) -> Column:
     return (considered == 0) | (share >= F.lit(tolerance))
 
 
-def _conditioned(df: DataFrame, suite: Suite) -> dict[int, list[Column]]:
-    """The counters of the checks with row conditions, by their place in the suite."""
-    out = {}
-    for ordinal, check in enumerate(suite.expectations):
-        if isinstance(check, ValueExpectation) and check.row_condition is not None and check.evaluable(df):
-            counters = check.counters()
-            out[ordinal] = [counters.elements, counters.missing, counters.unexpected]
-    return out
+# The errors by which a value stops an expression.
+_VALUE_ERRORS = frozenset(
+    "ARITHMETIC_OVERFLOW BINARY_ARITHMETIC_OVERFLOW CANNOT_PARSE_TIMESTAMP CAST_INVALID_INPUT CAST_OVERFLOW DATETIME_OVERFLOW "
+    "DIVIDE_BY_ZERO INTERVAL_ARITHMETIC_OVERFLOW INTERVAL_DIVIDED_BY_ZERO INVALID_ARRAY_INDEX INVALID_ARRAY_INDEX_IN_ELEMENT_AT "
+    "INVALID_FRACTION_OF_SECOND INVALID_INDEX_OF_ZERO INVALID_URL MALFORMED_RECORD_IN_PARSING NUMERIC_OUT_OF_SUPPORTED_RANGE "
+    "NUMERIC_VALUE_OUT_OF_RANGE REMAINDER_BY_ZERO USER_RAISED_EXCEPTION".split()
+)
+
+
+def _by_a_value(error: PySparkException) -> bool:
+    """Whether a query failed on a value it met, and not for want of a file, an executor or memory."""
+    return (error.getCondition() or "").split(".")[0] in _VALUE_ERRORS
+
 
+def _counters(df: DataFrame, suite: Suite, left_out: frozenset[int]) -> dict[int, Counters]:
+    """The counters of the checks that can be evaluated, by their place in the suite."""
+    return {
+        ordinal: check.counters(df.schema)
+        for ordinal, check in enumerate(suite.expectations)
+        if isinstance(check, ValueExpectation) and ordinal not in left_out and check.evaluable(df)
+    }
 
-def _refused(df: DataFrame, suite: Suite) -> frozenset[int]:
-    """The checks whose row condition fails on some row."""
-    checks = _conditioned(df, suite)
 
-    def works(columns: list[Column]) -> bool:
-        try:
-            df.agg(*columns).collect()
-        except (PySparkException, Py4JJavaError):
-            return False
+def _named(counters: dict[int, Counters]) -> list[Column]:
+    parts = ("elements", "missing", "unexpected", "considered")
+    return [F.count(F.lit(1)).alias("rows"), *[getattr(c, part).alias(f"{part}_{ordinal}") for ordinal, c in counters.items() for part in parts]]
+
+
+def _fails(df: DataFrame, counters: dict[int, Counters]) -> bool:
+    """Whether counting these meets a value that they can't do with; any other failure is raised."""
+    try:
+        df.agg(*_named(counters)).collect()
+    except PySparkException as error:
+        if not _by_a_value(error):
+            raise
         return True
+    return False
+
 
-    if works([c for columns in checks.values() for c in columns]):
-        return frozenset()
-    return frozenset(ordinal for ordinal, columns in checks.items() if not works(columns))
+def _counted(df: DataFrame, suite: Suite) -> tuple[DataFrame, dict[int, Counters]]:
+    """One row of counts, and the checks that have some.
+
+    Without row conditions nothing can fail, and nothing is run here.  With them the counts are taken at once; only if
+    that fails on a value, each condition is tried by itself, and the rest is counted without those that fail.
+    """
+    counters = _counters(df, suite, frozenset())
+    conditioned = [o for o in counters if suite.expectations[o].row_condition is not None]
+    if not conditioned:
+        return df.agg(*_named(counters)), counters
+    wanted = df.agg(*_named(counters))
+    try:
+        row = wanted.first()
+    except PySparkException as error:
+        if not _by_a_value(error):
+            raise
+        refused = frozenset(o for o in conditioned if _fails(df, {o: counters[o]}))
+        counters = _counters(df, suite, refused)
+        return df.agg(*_named(counters)), counters
+    return df.sparkSession.createDataFrame([tuple(row)], wanted.schema), counters
 
 
 def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
@@ -108,8 +143,7 @@ def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
     condition may also fail on some row's value.  So a suite with row conditions is counted at once, and
     if that fails, each of its conditions is tried by itself, and those that fail are left out.
     """
-    refused = _refused(df, suite) if _conditioned(df, suite) else frozenset()
-    aggregates: dict[str, Column] = {"rows": F.count(F.lit(1))}
+    counted, counters = _counted(df, suite)
     rows: list[Column] = []
     for ordinal, check in enumerate(suite.expectations):
         nothing = F.lit(None).cast("bigint")
@@ -117,10 +151,7 @@ def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
         if isinstance(check, SchemaExpectation):
             elements = F.col("rows")
             success = F.lit(check.holds(df))
-        elif ordinal not in refused and check.evaluable(df):
-            counters = check.counters()
-            for part in ("elements", "missing", "unexpected", "considered"):
-                aggregates[f"{part}_{ordinal}"] = getattr(counters, part)
+        elif ordinal in counters:
             elements, missing, unexpected = (
                 F.col(f"{part}_{ordinal}") for part in ("elements", "missing", "unexpected")
             )
@@ -140,7 +171,6 @@ def run_suite(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
                 success.alias("success"),
             )
         )
-    counted = df.agg(*[column.alias(name) for name, column in aggregates.items()])
     if not rows:
         rows = [F.lit(None).cast("struct<ordinal:int,expectation:string,column:string,element_count:bigint,missing_count:bigint,unexpected_count:bigint,mostly:double,success:boolean>")]
         counted = counted.where(F.lit(False))
