@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, quoted, text_of, written
+from plumbline.llm.common import SPACE, partitions, quoted, text_of, written
 from plumbline.operators.ranking import number_rows
 
 #: The band: least and most share of all documents that a term occurs in, and documents it must occur in at least.
@@ -151,21 +151,32 @@ def shown(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.coalesce(F.lpad(F.lower(F.hex(h)), 16, "0"), F.lit("-"))), ".")
 
 
-def edited(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Columns ``key, copy, next, text, edited, n_chars``: every text, and with its second half from the next document.
+def numbered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Columns ``key, text, copy``: ids, null ones as the smallest; ``copy`` numbers the rows that share one, by text.
 
-    The next document is the one with the next smaller id (after the smallest: the largest).  Rows that share an
-    id are all followed by the least text of the next smaller id; a null id is the smallest.  ``key`` is the id,
-    ``copy`` numbers the rows that share one, by text.
+    Texts are dealt out by id here, once for all that is done with them.
     """
     key = F.coalesce(quoted(id_column).cast("long"), F.lit(_FIRST))
-    texts = docs.select(key.alias("key"), text_of(text_column).alias("text"))
-    texts = texts.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("text")))
+    texts = docs.select(key.alias("key"), text_of(text_column).alias("text")).repartition(partitions(docs.sparkSession), "key")
+    return texts.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("text")))
+
+
+def neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Columns ``key, next, half``: each id with the next smaller one (after the smallest: the largest) and half the length of its longest text."""
+    key = F.coalesce(quoted(id_column).cast("long"), F.lit(_FIRST))
     ids = docs.select(key.alias("key"), F.length(text_of(text_column)).alias("n")).groupBy("key").agg(F.max("n").alias("n"))
     placed = written(number_rows(ids, [F.col("key").desc()], "at"), "ids")
     n = placed.count()
     after = placed.select(F.pmod(F.col("at") - 1, F.lit(max(n, 1))).alias("at"), F.col("key").alias("next"))
-    pairs = written(placed.join(after, "at").select("key", "next", F.floor(F.col("n") / 2).cast("int").alias("half")), "next")
+    return written(placed.join(after, "at").select("key", "next", F.floor(F.col("n") / 2).cast("int").alias("half")), "next")
+
+
+def edited(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Columns ``key, copy, next, text, edited, n_chars``: every text, and with its second half from the next document.
+
+    The next document is the one with the next smaller id.  Rows that share an id are all followed by the least text of
+    the next smaller id.
+    """
     # only what a text needs of the next one is sent to it
     heads = texts.where("copy = 1").select(F.col("key").alias("next"), "text")
     heads = heads.join(pairs, "next").select(F.col("key").alias("to"), "next", F.substring("text", F.lit(1), F.col("half")).alias("head"))
@@ -182,8 +193,9 @@ def compared(docs: DataFrame) -> DataFrame:
     Null texts are empty.  Repeated rows, and rows that share an id, are compared each for itself.
     """
     words = lexicon(docs.select(text_of("text").alias("text")))
-    texts = edited(docs).withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = written(fingerprints(texts, ["key", "copy", "next", "n_chars", "edited_sha256"], ["text", "edited"], words), "prints")
+    texts, pairs = numbered(docs), neighbours(docs)
+    both = edited(texts, pairs).withColumn("edited_sha256", F.sha2("edited", 256))
+    rows = written(fingerprints(both, ["key", "copy", "next", "n_chars", "edited_sha256"], ["text", "edited"], words), "prints")
     of_next = rows.where("copy = 1").select(F.col("key").alias("next"), F.col("print_0").alias("print_next"))
     return rows.join(of_next, "next").select(
         F.when(F.col("key") != _FIRST, F.col("key")).alias("doc_id"),
