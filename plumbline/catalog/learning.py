@@ -16,7 +16,7 @@ from plumbline.operators import features, ranking, registry, scoring, search, tr
 from plumbline.operators.split import in_share, sampled, train_test
 from plumbline.plans import score as score_plan
 from plumbline.session import scratch_path
-from plumbline.sources.tables import reused
+from plumbline.sources.tables import append_rows, reused
 
 
 def sql_share(key: str, share: float, seed: int = 42) -> str:
@@ -219,19 +219,57 @@ def _trials(spark, sf_dir) -> DataFrame:
     return search.run_trials(train_rows, test_rows, search.draw(), parallelism=8)
 
 
+def _ledger(spark, sf_dir) -> DataFrame:
+    """A ledger of many searches, written and read back: each user's events as trials, some of them finished twice or without an accuracy."""
+    events = table(spark, sf_dir, "events")
+    trial = events.select(
+        F.concat(F.lit("search_"), "user_id").alias("search_id"),
+        F.col("event_id").cast("int").alias("trial_id"),
+        (F.lit(1.0) / (F.col("event_id") + 1)).alias("c"),
+        F.get(F.array(*map(F.lit, training.SOLVERS)), (F.col("event_id") % 3).cast("int")).alias("solver"),
+        F.when(F.col("event_type") != "error", F.floor(F.col("value") / 10) / 100).alias("accuracy"),
+        F.col("ts").cast("timestamp").alias("finished_at"),
+    )
+    again = trial.where("trial_id % 4 = 0").select("*").withColumn("accuracy", F.lit(2.0)).withColumn("finished_at", F.col("finished_at") + F.expr("INTERVAL 1 DAY"))
+    path = scratch_path(spark, "ledger")
+    append_rows(trial, path)
+    append_rows(again, path)
+    return search.finished(search.Ledger(spark, path).rows)
+
+
+SQL_LEDGER = """trial AS (SELECT 'search_' || user_id AS search_id, CAST(event_id AS INTEGER) AS trial_id, 1.0::DOUBLE / (event_id + 1) AS c,
+    ['liblinear', 'saga', 'lbfgs'][1 + event_id % 3] AS solver, CASE WHEN event_type <> 'error' THEN floor(value / 10) / 100 END AS accuracy FROM events)"""
+
+
 @query("hpo_trials")
 def hpo_trials(spark, sf_dir):
     return _trials(spark, sf_dir)
 
 
-@query("hpo_best")
+@query(
+    "hpo_best",
+    f"""WITH {SQL_LEDGER}, ranked AS (SELECT *, row_number() OVER (PARTITION BY search_id ORDER BY accuracy DESC NULLS LAST, trial_id) AS place FROM trial)
+    SELECT search_id, trial_id, c, solver, accuracy FROM ranked WHERE place = 1""",
+)
 def hpo_best(spark, sf_dir):
-    return search.best_trial(_trials(spark, sf_dir))
+    """The best trial of each search of a stored ledger; accuracies have many ties."""
+    return search.best_trials(_ledger(spark, sf_dir))
 
 
-@query("run_log_rows")
+@query(
+    "run_log_rows",
+    f"""WITH {SQL_LEDGER}, part AS (SELECT search_id || '-' || trial_id AS run_id, unnest([1, 2, 3]) AS at_, * FROM trial),
+    rows_ AS (SELECT run_id, CASE WHEN at_ = 3 THEN 'metric' ELSE 'param' END AS kind, ['C', 'solver', 'accuracy'][at_] AS key,
+        CASE at_ WHEN 1 THEN round(c, 9) WHEN 3 THEN round(accuracy, 9) END AS number, CASE WHEN at_ = 2 THEN solver END AS text FROM part)
+    SELECT * FROM rows_ WHERE number IS NOT NULL OR text IS NOT NULL""",
+)
 def run_log_rows(spark, sf_dir):
-    return registry.trial_rows(_trials(spark, sf_dir), "search")
+    """A stored ledger as a run log; numbers are read back from their texts."""
+    rows = registry.ledger_rows(_ledger(spark, sf_dir))
+    is_text = F.col("key") == "solver"
+    return rows.select(
+        "run_id", "kind", "key", F.when(~is_text, F.round(F.col("value").cast("double"), 9)).alias("number"), F.when(is_text, F.col("value")).alias("text")
+    )
 
 
 def _registrations(events: DataFrame) -> DataFrame:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime
+import os
+import urllib.parse
+import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.sources.tables import append_rows, read_log
+from plumbline.sources.tables import read_log
 
 
 def run_rows(
@@ -57,15 +61,56 @@ def resolve(versions: DataFrame, assignments: DataFrame, name: str, alias: str)
     return found.uri if found else None
 
 
+def ledger_rows(ledger: DataFrame) -> DataFrame:
+    """Finished trials of any searches in the shape of a run log; those without an accuracy have no such row."""
+    run_id = F.concat("search_id", F.lit("-"), "trial_id")
+    cells = (("param", "C", "c"), ("param", "solver", "solver"), ("metric", "accuracy", "accuracy"))
+    entries = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), F.col(c).cast("string").alias("value")) for kind, key, c in cells])
+    return ledger.select(run_id.alias("run_id"), F.inline(entries)).where("value IS NOT NULL")
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that nobody else has created; says whether it was this call that did.
+
+    On a local or mounted folder by the operating system's exclusive creation, else by that of Hadoop's file system, which its
+    name server decides (an object store needs conditional creation switched on).
+    """
+    parts = urllib.parse.urlparse(path)
+    if parts.scheme in ("", "file"):
+        local = urllib.parse.unquote(parts.path) if parts.scheme else path
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 class Registry:
-    """The three tables at one place; a registry has one writer at a time."""
+    """The three tables at one place, for any number of writers.
+
+    Each append lies in a folder of its own, so writers don't meet.  A version belongs to who created its claim; a
+    claim whose writer was lost leaves a gap in the numbers and nothing else.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def _log(self, table: str, schema: str) -> DataFrame:
-        return read_log(self.spark, f"{self.root}/{table}", schema)
+        return read_log(self.spark, f"{self.root}/{table}", schema, nested=True)
+
+    def _append(self, rows: DataFrame, table: str, entry: str) -> None:
+        rows.coalesce(1).write.parquet(f"{self.root}/{table}/entry={entry}")
 
     @property
     def runs(self) -> DataFrame:
@@ -80,20 +125,23 @@ class Registry:
         return self._log("model_alias", schemas.MODEL_ALIAS)
 
     def log_run(self, rows: DataFrame) -> None:
-        append_rows(rows, f"{self.root}/run_log")
+        self._append(rows, "run_log", uuid.uuid4().hex)
 
     def register(self, name: str, run_id: str, uri: str, at: datetime.datetime) -> int:
         """Add the next version of a model and say which it is."""
         asked = self.spark.createDataFrame([(name,)], "name string")
         version = next_versions(self.versions.where(F.col("name") == name), asked).first().version
+        quoted = urllib.parse.quote(name, safe="")
+        while not claim(self.spark, f"{self.root}/claims/{quoted}/{version}"):
+            version += 1
         row = self.spark.createDataFrame([(name, version, run_id, uri, at)], schemas.MODEL_VERSION)
-        append_rows(row, f"{self.root}/model_version")
+        self._append(row, "model_version", uuid.uuid4().hex)
         return version
 
     def point(self, name: str, alias: str, version: int, at: datetime.datetime) -> None:
         """Let an alias point at a version from now on."""
         row = self.spark.createDataFrame([(name, alias, version, at)], schemas.MODEL_ALIAS)
-        append_rows(row, f"{self.root}/model_alias")
+        self._append(row, "model_alias", uuid.uuid4().hex)
 
     def uri(self, name: str, alias: str) -> str | None:
         return resolve(self.versions, self.aliases, name, alias)

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 import random
+import threading
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import OneVsRestModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.operators.training import SOLVERS, Params, classifier, training_shape
-from plumbline.sources.tables import reused
+from plumbline.operators.training import SOLVERS, Params, accuracy, classifier, training_shape
+from plumbline.sources.tables import append_rows, read_log, reused
 
 # Size of the search and range of the inverse penalty.
 N_TRIALS = 20
@@ -82,6 +84,68 @@ def run_trials(
     return spark.createDataFrame(rows, schemas.TRIAL)
 
 
+def finished(ledger: DataFrame) -> DataFrame:
+    """The trials of all searches; one that was finished twice counts once, as first."""
+    first = ledger.groupBy("search_id", "trial_id").agg(F.min_by(F.struct("c", "solver", "accuracy"), "finished_at").alias("row"))
+    return first.select("search_id", "trial_id", "row.*")
+
+
+class Ledger:
+    """Finished trials as an append-only table, a row each under the search's id, so that a search goes on where its driver stopped."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._one_at_a_time = threading.Lock()
+
+    @property
+    def rows(self) -> DataFrame:
+        return read_log(self.spark, self.path, schemas.LEDGER)
+
+    def trials(self, search_id: str) -> DataFrame:
+        """A search's finished trials."""
+        return finished(self.rows.where(F.col("search_id") == search_id)).drop("search_id")
+
+    def add(self, search_id: str, trial_id: int, params: Params, accuracy: float | None) -> None:
+        now = datetime.datetime.now(datetime.timezone.utc)
+        row = self.spark.createDataFrame([(search_id, trial_id, params.c, params.solver, accuracy, now)], schemas.LEDGER)
+        with self._one_at_a_time:
+            append_rows(row.coalesce(1), self.path)
+
+
+def continue_trials(
+    train: DataFrame, test: DataFrame, trials: Sequence[Params], ledger: Ledger, search_id: str, parallelism: int = 4
+) -> DataFrame:
+    """One row per trial, as ``run_trials``; each is written to the ledger as soon as it is judged, and those written before aren't fitted again.
+
+    Trials go by their place in ``trials``; a ledger whose trials have other parameters is of another search, which is an error.
+    """
+    spark = train.sparkSession
+    columns = ["features", "label"]
+    held = {r.trial_id: r for r in ledger.trials(search_id).collect()}
+    for at, row in held.items():
+        if at >= len(trials) or (row.c, row.solver) != (trials[at].c, trials[at].solver):
+            raise ValueError(f"trial {at} of search {search_id!r} had other parameters")
+    missing = [at for at in range(len(trials)) if at not in held]
+    if missing:
+        with reused(train.select(*columns)) as ready, reused(test.select(*columns)) as judged:
+            shape = training_shape(ready)
+
+            def run(at: int) -> None:
+                model = classifier(trials[at], shape).fit(ready)
+                scored = _predicted(model, judged, "prediction")
+                ledger.add(search_id, at, trials[at], accuracy(scored))
+
+            with ThreadPool(min(parallelism, len(missing))) as pool:
+                pool.map(inheritable_thread_target(spark)(run), missing, chunksize=1)
+    return ledger.trials(search_id)
+
+
+def best_trials(ledger: DataFrame) -> DataFrame:
+    """The most accurate trial of each search; the earlier of equal ones, one without an accuracy last."""
+    place = F.struct(F.coalesce(-F.col("accuracy"), F.lit(float("inf"))).alias("less"), "trial_id")
+    return ledger.groupBy("search_id").agg(F.min_by(F.struct("trial_id", "c", "solver", "accuracy"), place).alias("row")).select("search_id", "row.*")
+
+
 def best_trial(trials: DataFrame) -> DataFrame:
     """The most accurate trial; the earlier of equal ones."""
     return trials.orderBy(F.col("accuracy").desc_nulls_last(), F.col("trial_id")).limit(1)

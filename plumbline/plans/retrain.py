@@ -57,12 +57,14 @@ def retrain(
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
     at: datetime.datetime | None = None,
+    search_id: str | None = None,
 ) -> Retrained:
     """Rows are split by key, so every trial and the refit see the same two parts.
 
     ``categories`` are columns that become indexes before the stages; their index table is stored next to
     the model, however many there are, and so are a few rows of the ``example`` columns and the ``inputs`` that scoring
-    has to give it, which are filled here as they will be there.
+    has to give it, which are filled here as they will be there.  Trials are written to the registry's ledger as they end; with the
+    ``search_id`` of a run that was stopped, only the missing ones are fitted.
     """
     spark = df.sparkSession
     at = at or datetime.datetime.now(datetime.timezone.utc)
@@ -80,8 +82,9 @@ def retrain(
     ready = before.transform(df).select(F.col(key).alias("key"), "features", F.col("label").cast("double").alias("label"))
     train_rows, test_rows = train_test(ready, "key", TEST_SHARE, seed)
     with reused(train_rows) as fitted_on, reused(test_rows) as judged_on:
-        trials = search.run_trials(fitted_on, judged_on, search.draw(n_trials, seed), parallelism)
-        search_id = uuid.uuid4().hex
+        search_id = search_id or uuid.uuid4().hex
+        ledger = search.Ledger(spark, f"{models.root}/ledger")
+        trials = search.continue_trials(fitted_on, judged_on, search.draw(n_trials, seed), ledger, search_id, parallelism)
         models.log_run(registry.trial_rows(trials, search_id))
         best = search.best_params(trials)
         trained = training.train(fitted_on, judged_on, best, before, run_id)
@@ -107,6 +110,7 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--label", help="number column that holds the class, with --text")
     parser.add_argument("--trials", type=int, default=search.N_TRIALS)
     parser.add_argument("--parallelism", type=int, default=4)
+    parser.add_argument("--search-id", help="name of the search; the same name goes on with one that was stopped")
     return parser
 
 
@@ -124,6 +128,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     made = retrain(
         df, stages, args.key, registry.Registry(spark, args.registry), args.name, args.alias,
         categories=categories, example=[one.name for one in inputs], inputs=inputs, n_trials=args.trials, parallelism=args.parallelism,
+        search_id=args.search_id,
     )
     print(made)
 

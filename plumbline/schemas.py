@@ -51,6 +51,10 @@ METRIC = (
 
 TRIAL = "trial_id INT, c DOUBLE, solver STRING, accuracy DOUBLE"
 
+LEDGER = (
+    "search_id STRING, trial_id INT, c DOUBLE, solver STRING, accuracy DOUBLE, finished_at TIMESTAMP"
+)
+
 MODEL_VERSION = (
     "name STRING, version INT, run_id STRING, uri STRING, registered_at TIMESTAMP"
 )

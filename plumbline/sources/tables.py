@@ -78,10 +78,16 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_log(spark: SparkSession, ref: str, schema: str) -> DataFrame:
-    """An append-only log, or an empty frame of its schema where nothing was written yet."""
+def read_log(spark: SparkSession, ref: str, schema: str, nested: bool = False) -> DataFrame:
+    """An append-only log, or an empty frame of its schema where nothing was written yet.
+
+    ``nested`` also takes files in folders below, whatever their names.
+    """
     try:
-        return spark.read.schema(schema).parquet(ref) if is_path(ref) else spark.table(ref)
+        if not is_path(ref):
+            return spark.table(ref)
+        reader = spark.read.schema(schema)
+        return (reader.option("recursiveFileLookup", "true") if nested else reader).parquet(ref)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
             return spark.createDataFrame([], schema)
