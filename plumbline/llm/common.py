@@ -24,6 +24,25 @@ def text_of(name: str) -> Column:
     return F.coalesce(quoted(name).cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame) -> Column:
+    """A row's columns, whatever their names and however many, as one value; ``unpacked`` gives them back.
+
+    An operator that carries this beside its own columns can't meet a name that it uses itself.
+    """
+    return F.struct(*[quoted(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
+
+
+def unpacked(docs: DataFrame, row: str, new: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``docs`` out of the column ``row`` that holds them, with those in ``new`` in place of their own."""
+    return [(new or {}).get(c, F.col(row).getField(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
+
+
+def content(docs: DataFrame) -> Column:
+    """What tells rows apart, as a value to be hashed: all columns but maps, and which of them are null, as nulls count for nothing in a hash."""
+    own = [quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.struct(*[F.struct(c.isNull().alias("none"), c.alias("own")) for c in own])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage and survives lost executors.
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import kept, quoted, text_of, written
+from plumbline.llm.common import content, kept, packed, quoted, text_of, unpacked, written
 from plumbline.llm.components import components
 from plumbline.llm.texthash import words_of
 from plumbline.operators.ranking import number_rows
@@ -363,16 +363,13 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     Rows are told apart by 128 bits of hashes of all their columns (but maps), so rows that share an id stay or go each for itself;
     of complete copies one stays.  Rows without shingles are linked with nothing, and all stay.
     """
-    own = [quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    # nulls count for nothing in a hash, so which columns are null is hashed along
-    content = F.struct(*[F.struct(c.isNull().alias("none"), c.alias("own")) for c in own])
-    marks = [F.xxhash64(F.lit(k), content).alias(f"_mark_{k}") for k in range(2)]
+    marks = [F.xxhash64(F.lit(k), content(docs)).alias(f"mark_{k}") for k in range(2)]
     key = F.struct(quoted("doc_id").isNull().alias("none"), quoted("doc_id").alias("id"), *marks)
-    groups = near_copies(docs.select(key.alias("key"), "text"), "key", "text", width, percent)
-    names = ["_mark_0", "_mark_1"]
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._mark_0", "doc_id._mark_1", "n_shingles")
-    stays = written(stays.groupBy(*names).agg(((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("_again")), "stays")
-    rows = docs.select(*map(quoted, docs.columns), *marks).join(stays, names)
+    groups = near_copies(docs.select(key.alias("key"), text_of("text").alias("text")), "key", "text", width, percent)
+    names = ["mark_0", "mark_1"]
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.mark_0", "doc_id.mark_1", "n_shingles")
+    stays = written(stays.groupBy(*names).agg(((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("again")), "stays")
+    rows = docs.select(packed(docs).alias("row"), *marks).join(stays, names)
     # only repeated rows are shuffled for it
-    rows = rows.where(~F.col("_again")).union(rows.where("_again").dropDuplicates(names))
-    return rows.select(*map(quoted, docs.columns))
+    rows = rows.where(~F.col("again")).union(rows.where("again").dropDuplicates(names))
+    return rows.select(*unpacked(docs, "row"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, partitions, quoted, text_of, written
+from plumbline.llm.common import SPACE, content, packed, partitions, quoted, text_of, unpacked, written
 
 #: Words of a block, slots of an output shard, documents whose order one task finds, times a source may be repeated.
 BLOCK, SHARD, BUCKET, REPEATS = 32, 16_384, 20_000, 3
@@ -30,14 +30,14 @@ def word_count(text: Column) -> Column:
     return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
-def sized(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
+def sized(docs: DataFrame, id_column: str, text_column: str, source_column: str, mark_column: str | None = None) -> DataFrame:
     """Columns ``doc_id, source, size, mark``: ``mark`` tells texts of one id apart."""
     text = text_of(text_column)
     return docs.select(
         quoted(id_column).alias("doc_id"),
         quoted(source_column).alias("source"),
         word_count(text).alias("size"),
-        F.xxhash64(text).alias("mark"),
+        (F.xxhash64(text) if mark_column is None else quoted(mark_column)).alias("mark"),
     )
 
 
@@ -69,7 +69,7 @@ def targets(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
 
 def _placed(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their beginning in their source, and (source, bucket) totals with the sources' targets."""
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(buckets)).cast("int"))
     totals = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "totals")
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
@@ -149,6 +149,7 @@ def mix(
     shard: int = SHARD,
     bucket: int = BUCKET,
     repeats: int = REPEATS,
+    mark_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The mix, and each document with its source's target.
 
@@ -160,7 +161,7 @@ def mix(
     Null texts have no words and null sources are a source.  Documents without words stay in the second table and
     are in no slot.  Repeated rows count as often as they occur.  An empty table has an empty mix.
     """
-    rows = written(sized(docs, id_column, text_column, source_column), "sized")
+    rows = written(sized(docs, id_column, text_column, source_column, mark_column), "sized")
     buckets = max(1, -(-rows.count() // bucket))
     rows, offsets = _placed(rows, buckets)
     sources = offsets.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -217,28 +218,30 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     """The mix as documents: each row of ``docs`` once for every pass that takes words of it.
 
     A pass that takes all of a text gives it as it is; one that takes some gives these words, in order,
-    joined by blanks, with ``n_chars`` to match.  Documents without words are in no mix.  Rows that share an id
-    and a text, but not their other columns, are each given what the first of them has there.
+    joined by blanks, with ``n_chars`` to match.  Documents without words are in no mix.  Rows are told apart by
+    64 bits of a hash of all their columns (but maps), so those that share an id or a text keep their other columns.
     """
-    mixed, _ = mix(docs, seed=seed)
+    columns = [quoted(c).alias(c) for c in ("doc_id", "text", "source")]
+    own = docs.select(*columns, packed(docs).alias("row"), F.xxhash64(content(docs)).alias("mark"))
+    mixed, _ = mix(own, seed=seed, mark_column="mark")
     parts = mixed.groupBy("doc_id", "mark", "source", "start", "turn").agg(
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("parts"),
         F.sum(F.col("high") - F.col("low")).alias("words"),
         F.first("size").alias("size"),
     )
-    parts = parts.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("source").alias("_source"), "parts", "words", "size")
-    own = docs.withColumn("_mark", F.xxhash64(text_of("text"))).dropDuplicates(["doc_id", "_mark", "source"])
-    own = own.select(*[quoted(c).alias(f"own_{k}") for k, c in enumerate(docs.columns)], F.col("_mark").alias("own_mark"))
-    at = {c: f"own_{docs.columns.index(c)}" for c in ("doc_id", "text", "source", "n_chars")}
-    same = F.col(at["doc_id"]).eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")) & F.col(at["source"]).eqNullSafe(F.col("_source"))
-    words = F.filter(F.split(F.col(at["text"]), f"[{SPACE}]+"), lambda w: w != "")
+    parts = parts.select(F.col("doc_id").alias("part_id"), F.col("mark").alias("part_mark"), F.col("source").alias("part_source"), "parts", "words", "size")
+    own = own.dropDuplicates(["doc_id", "mark", "source"])  # full copies; each has its own parts
+    same = F.col("doc_id").eqNullSafe(F.col("part_id")) & (F.col("mark") == F.col("part_mark")) & F.col("source").eqNullSafe(F.col("part_source"))
+    words = F.filter(F.split("text", f"[{SPACE}]+"), lambda w: w != "")
 
     def cut(own: Column) -> Column:
         return F.concat_ws(" ", F.flatten(F.transform("parts", lambda p: F.slice(own, (p["low"] + 1).cast("int"), (p["high"] - p["low"]).cast("int")))))
 
     some = F.element_at(F.transform(F.array(words), cut), 1)  # words are found once, not once for each part
     whole = F.col("words") == F.col("size")
-    rows = own.join(parts, same).withColumn("given", F.when(whole, F.col(at["text"])).otherwise(some))
-    chars = F.when(whole, F.col(at["n_chars"])).otherwise(F.length("given"))
-    new = {"text": F.col("given"), "n_chars": chars.cast(docs.schema["n_chars"].dataType)}
-    return rows.select(*[new.get(c, F.col(f"own_{k}")).alias(c) for k, c in enumerate(docs.columns)])
+    rows = own.join(parts, same).withColumn("given", F.when(whole, F.col("text")).otherwise(some))
+    new = {"text": F.col("given")}
+    if "n_chars" in docs.columns:
+        had = F.col("row").getField(f"c{docs.columns.index('n_chars')}")
+        new["n_chars"] = F.when(whole, had).otherwise(F.length("given").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*unpacked(docs, "row", new))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import quoted, text_of, written
+from plumbline.llm.common import packed, quoted, text_of, unpacked, written
 from plumbline.llm.texthash import words_of
 
 #: Labelled rows that the model is fitted on, at most: a sample by hash of the id if there are more.
@@ -201,11 +201,12 @@ def learn(measured_docs: DataFrame, labels: DataFrame, label: str = "quality", m
     known = labels.select(quoted("doc_id").alias("l"), quoted(label).cast("double").alias("y")).where("l IS NOT NULL AND y IS NOT NULL")
     known = known.where(~held_out(F.col("l"))).groupBy("l").agg(F.round(F.avg("y")).alias("y"))
     rows = measured_docs.join(known, F.col("doc_id") == F.col("l")).select("doc_id", "x", "y")
-    rows = written(rows, "labelled")
+    # copies of a row say nothing new, and with them the draw by a hash would have no bound
+    rows = written(rows.dropDuplicates(["doc_id", "x"]).withColumn("draw", F.xxhash64("doc_id", "x")), "labelled")
     n = rows.count()
     if n > most:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n)).limit(most + most // 10)
-    data = rows.toArrow().sort_by("doc_id")
+        rows = rows.where(F.pmod("draw", F.lit(1 << 30)) < int((1 << 30) * most / n))
+    data = rows.toArrow().sort_by([("doc_id", "ascending"), ("draw", "ascending")])
     x = np.array(data.column("x").to_pylist(), dtype=np.float64).reshape(-1, len(MEASURES))
     return fit(x, data.column("y").to_numpy().astype(np.float64))
 
@@ -231,10 +232,11 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score at least one half, as they are; rows of one id are judged each by their own text."""
-    marked = docs.select("*", F.xxhash64(text_of("text")).alias("_mark"))
-    key = F.struct(quoted("doc_id").alias("doc_id"), F.xxhash64(text_of("text")).alias("mark"))
-    x = written(measures(docs.select(key.alias("key"), "text"), "key", "text"), "measures")
+    mark = F.xxhash64(text_of("text"))
+    rows = docs.select(packed(docs).alias("row"), quoted("doc_id").alias("doc_id"), mark.alias("mark"))
+    key = F.struct(quoted("doc_id").alias("doc_id"), mark.alias("mark"))
+    x = written(measures(docs.select(key.alias("key"), text_of("text").alias("text")), "key", "text"), "measures")
     model = learn(x.select(F.col("doc_id.doc_id").alias("doc_id"), "x"), labels)
-    bad = score(x, model).where("score < 0.5").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.mark").alias("_own")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_own"))
-    return marked.join(written(bad, "rejected"), same, "left_anti").select(*map(quoted, docs.columns))
+    bad = score(x, model).where("score < 0.5").select(F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.mark").alias("bad_mark")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("mark") == F.col("bad_mark"))
+    return rows.join(written(bad, "rejected"), same, "left_anti").select(*unpacked(docs, "row"))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import quoted, text_of, written
+from plumbline.llm.common import packed, quoted, text_of, unpacked, written
 
 # The kinds of secrets and their patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -238,7 +238,8 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     Spans that overlap or touch become one mask.  Texts without secrets stay as they are, null ones too.
     """
-    found = secrets(docs, carried=tuple(c for c in docs.columns if c != "doc_id"))
+    rows = docs.select(quoted("doc_id").alias("doc_id"), quoted("text").cast("string").alias("text"), packed(docs).alias("row"))
+    found = secrets(rows, carried=("text", "row"))
     start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -249,7 +250,9 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     masked = F.aggregate("found", start, step, lambda s: F.concat(s["out"], F.substring("text", (s["end"] + 1).cast("int"), F.length("text"))))
     has = F.size("found") > 0
-    found = found.withColumn("_masked", F.when(has, masked).otherwise(F.col("text"))).withColumn("_has", has)
-    chars = F.when(F.col("_has"), F.length("_masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    new = {"text": F.col("_masked"), "n_chars": chars}
-    return found.select(*[new.get(c, quoted(c)).alias(c) for c in docs.columns])
+    found = found.withColumn("masked", F.when(has, masked).otherwise(F.col("text"))).withColumn("has", has)
+    new = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        own = F.col("row").getField(f"c{docs.columns.index('n_chars')}")
+        new["n_chars"] = F.when(F.col("has"), F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(own)
+    return found.select(*unpacked(docs, "row", new))

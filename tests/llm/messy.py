@@ -42,3 +42,24 @@ def lower(text):
 
 def words(text):
     return WORD.findall(text or "")
+
+
+#: Names that the stages use themselves, as a user's columns.
+CLASHING = """row mark mark_0 mark_1 again key bad_id bad_mark score held_out x draw sig size least top n_shingles component_id doc_id.x
+    found base tokens tests masked has span encoding stratum p start source_size target turn parts part_id part_mark part_source words
+    given low high own c0 c1 _text _mark _id _mark_0 _again _masked _has a.b""".split()
+
+
+def clashing(spark, good):
+    """Rows of a table, each with a text of its own under every such name; two rows that are equal but for these."""
+    from pyspark.sql import functions as F
+
+    docs = good.select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.withColumn("tag", F.lit("one")).union(docs.withColumn("tag", F.lit("two")).orderBy("doc_id").limit(20))
+    value = lambda name: F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(" "), "tag")
+    return docs.select("*", *[value(n).alias(n) for n in CLASHING])
+
+
+def untouched(rows):
+    """Whether every such column still holds what it held."""
+    return all(r[n] == f"{n} of {'none' if r['doc_id'] is None else r['doc_id']} {r['tag']}" for r in rows for n in CLASHING)
