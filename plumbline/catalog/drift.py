@@ -166,6 +166,29 @@ def drift_ks(spark, sf_dir):
     return rounded(distribution.kolmogorov_smirnov(distances))
 
 
+SQL_SUPPLIER_HALVES = """halves AS (SELECT *,
+    row_number() OVER (ORDER BY s_suppkey) <= count(*) OVER () // 2 AS is_ref FROM supplier)"""
+
+
+@query(
+    "drift_ks_exact",
+    f"""WITH RECURSIVE {SQL_SUPPLIER_HALVES}, {_sql_long("halves", ["s_acctbal", "s_nationkey"], "vals", "DOUBLE")},
+    {_sql_steps("vals")}, size AS (SELECT col, d, CAST(n_ref AS BIGINT) AS n, CAST(n_cur AS BIGINT) AS m, CAST(round(d * n_ref * n_cur) AS BIGINT) AS bound FROM ks),
+    walk AS (SELECT col, n, m, bound, 0 AS steps, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share FROM size
+        UNION ALL SELECT col, n, m, bound, steps + 1, list_transform(range(0, n + 1), lambda i:
+            CASE WHEN steps + 1 - i BETWEEN 0 AND m AND abs(i * m - (steps + 1 - i) * n) < bound
+                THEN (CASE WHEN i > 0 THEN share[i] * i ELSE 0.0 END + share[i + 1] * (steps + 1 - i)) / (steps + 1) ELSE 0.0::DOUBLE END)
+        FROM walk WHERE steps < n + m)
+    SELECT s.col AS "column", round(d, 6) AS statistic, round(1 - share[s.n + 1], 6) AS p_value, s.n AS n_ref, s.m AS n_cur
+    FROM size s JOIN walk w ON w.col = s.col AND steps = s.n + s.m""",
+)
+def drift_ks_exact(spark, sf_dir):
+    """Small sides: p-values by counting all orders of the values."""
+    halves = split_at_fraction(table(spark, sf_dir, "supplier"), ["s_suppkey"])
+    distances = distribution.numeric_distances(halves, ["s_acctbal", "s_nationkey"])
+    return rounded(distribution.kolmogorov_smirnov(distances, exact_pairs=1_000_000))
+
+
 @query(
     "drift_ks_lineitem",
     f"""WITH {SQL_LINEITEM_SIDES}, {_sql_long("sides", LINEITEM_NUMBERS, "vals", "DOUBLE")},
@@ -466,3 +489,19 @@ def drift_text_classifier(spark, sf_dir):
     return side_sizes(halves).select(
         F.lit("text").alias("column"), F.lit(auc).cast("double").alias("auc"), "n_ref", "n_cur"
     )
+
+
+SQL_UNUSUAL = "u AS (SELECT event_id, is_ref, CASE event_id % 7 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN '-Infinity'::DOUBLE WHEN 3 THEN NULL ELSE purchase_value END AS x FROM halves)"
+
+
+@query(
+    "drift_unusable_values",
+    f"""WITH {SQL_EVENT_HALVES}, {SQL_UNUSUAL}, vals AS (SELECT 'x' AS col, x, is_ref FROM u WHERE x IS NOT NULL AND isfinite(x)),
+    {_sql_steps("vals")} {SQL_W1_ROWS}""",
+)
+def drift_unusable_values(spark, sf_dir):
+    """NULL, NaN and infinite values take no part in a distance."""
+    kind = F.col("event_id") % 7
+    number = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).when(kind == 2, float("-inf")).when(kind > 3, F.col("purchase_value"))
+    sides = events_in_halves(spark, sf_dir).withColumn("x", number)
+    return rounded(distribution.normed_wasserstein(distribution.numeric_distances(sides, ["x"])))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.catalog.base import SQL_PAGE, SQL_V2, query, staged_v2, table, visited_page
 from plumbline.operators.payload import fill_missing, parse_events, stage_events
-from plumbline.operators.profile import profile
+from plumbline.operators.profile import merged_profile, profile, sketch_rows
 from plumbline.session import scratch_path
 from plumbline.sources.log import append_batch, load_version
 from plumbline.sources.streams import replay_events
@@ -114,6 +114,37 @@ def table_profile(spark, sf_dir):
     return profile(staged_v2(table(spark, sf_dir, "events")))
 
 
+@query(
+    "table_profile_distinct",
+    " UNION ALL ".join(
+        f"""SELECT {at} AS ordinal, '{c}' AS "column", '{t}' AS data_type, 6 AS column_count, (SELECT count(*) FROM orders) AS row_count,
+        (SELECT count({c}) FROM orders) AS non_null_count, (SELECT count(DISTINCT {c}) FROM orders) AS distinct_count"""
+        for at, (c, t) in enumerate(
+            [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+        )
+    ),
+)
+def table_profile_distinct(spark, sf_dir):
+    """Sizes and exact numbers of distinct values, of columns of few values and of unique ones."""
+    return profile(table(spark, sf_dir, "orders"), distinct=True)
+
+
+@query(
+    "table_profile_merged",
+    f"""WITH {SQL_V2}, part AS (SELECT * FROM stg WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00')
+    SELECT 0 AS ordinal, 'user_id' AS "column", 'string' AS data_type, count(*) AS row_count, count(user_id) AS non_null_count FROM part
+    UNION ALL SELECT 1, 'event_type', 'string', count(*), count(event_type) FROM part UNION ALL SELECT 2, 'page', 'string', count(*), count(page) FROM part
+    UNION ALL SELECT 3, 'ts', 'timestamp', count(*), count(ts) FROM part UNION ALL SELECT 4, 'purchase_value', 'double', count(*), count(purchase_value) FROM part""",
+)
+def table_profile_merged(spark, sf_dir):
+    """A week's profile from stored sketches of hours; its counts are exact."""
+    staged = staged_v2(table(spark, sf_dir, "events")).withColumn("hour", F.date_trunc("hour", "ts"))
+    path = scratch_path(spark, "sketches")
+    sketch_rows(staged, "hour").write.parquet(path)
+    week = spark.read.parquet(path).where("hour >= TIMESTAMP '2024-01-08 00:00:00' AND hour < TIMESTAMP '2024-01-15 00:00:00'")
+    return merged_profile(week).drop("distinct_estimate", "quantiles")
+
+
 @query(
     "versioned_read",
     """SELECT event_type, count(*) AS n_events, max(ts) AS last_ts FROM events

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -29,6 +30,24 @@ def kolmogorov_tail(distance: float, n: float, m: float) -> float:
     return min(1.0, max(0.0, 2 * series))
 
 
+def kolmogorov_exact_tail(distance: float, n: int, m: int) -> float:
+    """The share of all orders of n and m values whose distance is as large, by counting lattice paths.
+
+    A path goes a step right for a value of one side and up for one of the other; it stays inside while the two distribution functions are
+    nearer than the distance.  Each diagonal holds, for its points, the share of the paths there that never left.
+    """
+    bound = round(distance * n * m)  # distances are multiples of 1 / (n m)
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0
+    right = np.arange(n + 1)
+    for steps in range(1, n + m + 1):
+        up = steps - right
+        before = np.concatenate([[0.0], inside[:-1]])
+        share = (before * right + inside * np.maximum(up, 0)) / steps
+        inside = np.where((up >= 0) & (up <= m) & (np.abs(right * m - up * n) < bound), share, 0.0)
+    return min(1.0, max(0.0, 1.0 - float(inside[n])))
+
+
 def normal_two_sided_tail(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -77,8 +96,15 @@ def _over_series(function):
 
 
 @F.pandas_udf(DoubleType())
-def kolmogorov_p(distance: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    return _over_series(kolmogorov_tail)(distance, n, m)
+def kolmogorov_p(distance: pd.Series, n: pd.Series, m: pd.Series, exact_pairs: pd.Series) -> pd.Series:
+    def tail(d: float, n: float, m: float, most: float) -> float | None:
+        if pd.isna(d) or n <= 0 or m <= 0:
+            return None
+        if n * m <= most:
+            return kolmogorov_exact_tail(d, int(n), int(m))
+        return kolmogorov_tail(d, n, m)
+
+    return pd.Series([tail(*row) for row in zip(distance, n, m, exact_pairs, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())

@@ -238,12 +238,13 @@ def find_edges(
     return dict(find_ranges(df, columns, flag, count).edges)
 
 
-def kolmogorov_smirnov(distances: DataFrame) -> DataFrame:
-    """Statistic and asymptotic p-value."""
+def kolmogorov_smirnov(distances: DataFrame, exact_pairs: int = 0) -> DataFrame:
+    """Statistic and p-value: asymptotic, or exact where the two sides have at most ``exact_pairs`` pairs of values."""
+    sizes = [F.col(n).cast("double") for n in ("n_ref", "n_cur")]
     return distances.select(
         "column",
         F.col("ks").alias("statistic"),
-        kolmogorov_p("ks", F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("p_value"),
+        kolmogorov_p("ks", *sizes, F.lit(float(exact_pairs))).alias("p_value"),
         "n_ref",
         "n_cur",
     )

@@ -37,6 +37,8 @@ class DriftRules:
     distance_threshold: float = 0.1
     auc_threshold: float = 0.55
     dataset_share: float = 0.5
+    # number columns of at most so many pairs of values have exact p-values
+    exact_pairs: int = 0
     roles: RoleRules = field(default_factory=RoleRules)
     text: TextRules = field(default_factory=TextRules)
 
@@ -117,8 +119,8 @@ def drift_report(
     if numeric:
         ranges = distribution.ranges_of(facts, numeric, n_edges)
         distances = distribution.numeric_distances(df, numeric, flag, ranges=ranges)
-        shape = distribution.kolmogorov_smirnov if small else distribution.normed_wasserstein
-        parts.append(_judged(shape(distances), NUMERIC, tests, rules))
+        tested = distribution.kolmogorov_smirnov(distances, rules.exact_pairs) if small else distribution.normed_wasserstein(distances)
+        parts.append(_judged(tested, NUMERIC, tests, rules))
     categorical = [name for name, role in roles.items() if role == CATEGORICAL]
     if categorical:
         measures = categories.category_measures(categories.category_counts(df, categorical, flag))
