@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from plumbline.session import build_session
 from plumbline.sources.streams import EVENT_TOPIC, START_POSITION, kafka_events, replay_events
-from plumbline.streaming.ingest import TRIGGER_INTERVAL, block_on, start_ingest
+from plumbline.streaming.ingest import ROWS_PER_FILE, TRIGGER_INTERVAL, block_on, start_batch_ingest, start_ingest
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -23,6 +23,10 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--interval", default=TRIGGER_INTERVAL)
     parser.add_argument("--once", action="store_true", help="handle what is there now, then end")
     parser.add_argument("--files-per-minute", type=int, help="gather minutes before writing")
+    parser.add_argument("--batches", action="store_true", help="write each batch as a version of the table, in files of ranges of minutes")
+    parser.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE, help="with --batches")
+    parser.add_argument("--max-offsets-per-trigger", type=int, help="most messages of a batch")
+    parser.add_argument("--max-files-per-trigger", type=int, help="most files of a batch, with --replay")
     return parser
 
 
@@ -30,15 +34,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = build_session("event-ingest")
     if args.replay:
-        raw = replay_events(spark, args.replay)
+        raw = replay_events(spark, args.replay, args.max_files_per_trigger)
     else:
-        raw = kafka_events(spark, args.bootstrap_servers, args.topic, args.starting_offsets)
+        raw = kafka_events(spark, args.bootstrap_servers, args.topic, args.starting_offsets, args.max_offsets_per_trigger)
+    interval = None if args.once else args.interval
+    if args.batches:
+        block_on(start_batch_ingest(raw, args.path, args.checkpoint, interval=interval, rows_per_file=args.rows_per_file))
+        return
     stream = start_ingest(
         raw,
         args.path,
         args.checkpoint,
         sink_format=args.format,
-        interval=None if args.once else args.interval,
+        interval=interval,
         files_per_minute=args.files_per_minute,
     )
     block_on(stream)

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.definitions import Definitions
 from plumbline.operators.gauges import validation_gauge
 from plumbline.operators.profile import profile
 from plumbline.operators.suite import (
@@ -55,18 +56,29 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--version", type=int, help="an earlier version of a versioned table")
     parser.add_argument("--results", required=True, help="where result rows are appended")
     parser.add_argument("--metrics", required=True, help="where gauge rows are appended")
+    parser.add_argument("--definitions", help="folder of stored suites and checkpoints")
+    parser.add_argument("--suite", help="a stored suite for the table, instead of the built-in one")
+    parser.add_argument("--checkpoint", help="a stored checkpoint, which names its tables, instead of --table")
     parser.add_argument("--level", choices=[BOOLEAN_ONLY, COUNTS], default=BOOLEAN_ONLY)
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments().parse_args(argv)
+    if (args.suite or args.checkpoint) and not args.definitions:
+        raise SystemExit("--suite and --checkpoint need --definitions")
     spark = build_session("event-validation")
-    df = load_table(spark, args.table, version=args.version)
-    profile(df).show(truncate=False)
     run = Run.starting(datetime.datetime.now(datetime.timezone.utc))
-    label = args.table.rsplit(".", 1)[-1] if "/" not in args.table else args.table
-    success = validate([(df, USER_EVENTS_SUITE)], label, run, args.results, args.metrics, args.level)
+    kept = Definitions(spark, args.definitions) if args.definitions else None
+    if args.checkpoint:
+        bound, label, level = kept.bound(args.checkpoint), args.checkpoint, kept.checkpoint(args.checkpoint).level
+    else:
+        df = load_table(spark, args.table, version=args.version)
+        label = args.table.rsplit(".", 1)[-1] if "/" not in args.table else args.table
+        bound, level = [(df, kept.suite(args.suite) if args.suite else USER_EVENTS_SUITE)], args.level
+    for df, _ in bound:
+        profile(df).show(truncate=False)
+    success = validate(bound, label, run, args.results, args.metrics, level)
     print(f"{run.run_id}: success={success}")
 
 

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from plumbline.catalog.base import staged_v1, staged_v2, table
 from plumbline.operators.drift import DriftRules
-from plumbline.operators.suite import COUNTS, USER_EVENTS_SUITE, Run
-from plumbline.plans import drift, ingest, retrain, score, validate
+from plumbline.operators.definitions import Checkpoint, Definitions
+from plumbline.operators.expectations import InSet, NotNull
+from plumbline.operators.suite import COUNTS, USER_EVENTS_SUITE, Run, Suite
+from plumbline.plans import drift, ingest, page, retrain, score, stage, validate
 from plumbline.plans.drift import measure_drift
 from plumbline.sources.tables import append_rows, as_of, load_table, read_log
 
@@ -89,3 +91,44 @@ def test_job_mains(spark, tmp_path, capsys):
     score.main(["--table", staged, "--registry", registry, "--keep", "event_id", "--output", predictions])
     scored = spark.read.parquet(predictions)
     assert scored.columns == ["event_id", "prediction"] and scored.count() == spark.read.parquet(staged).count()
+
+
+def test_from_replayed_files_to_the_page(spark, tmp_path):
+    """All jobs after each other, each on what the last one wrote."""
+    at = {n: str(tmp_path / n) for n in ("replay", "bronze", "progress", "staged", "results", "metrics", "report", "registry", "out", "bad", "page", "definitions")}
+    line = '{{"user_id":"u{0}","event_type":"{1}","timestamp":"2024-01-01T00:{2:02d}:07Z","page":"/home","value":{0}}}'
+    kinds = ("click", "purchase", "page_view", "add_to_cart")
+    lines = [(line.format(k, kinds[k % 4], k % 60),) for k in range(240)]
+    spark.createDataFrame(lines, "value string").repartition(4).write.text(at["replay"])
+    ingest.main(["--replay", at["replay"], "--path", at["bronze"], "--checkpoint", at["progress"], "--once", "--batches", "--rows-per-file", "50", "--max-files-per-trigger", "2"])
+    assert load_table(spark, at["bronze"], version=0).count() < load_table(spark, at["bronze"], version=1).count() == 240
+
+    stage.main(["--table", at["bronze"], "--output", at["staged"], "--key", "event_key", "--minutes", "2024-01-01-00-00", "2024-01-01-00-49"])
+    staged = spark.read.parquet(at["staged"])
+    assert staged.columns == ["user_id", "event_type", "page", "ts", "purchase_value", "event_key"]
+    assert staged.count() == staged.select("event_key").distinct().count() == 200
+
+    validate.main(["--table", at["staged"], "--results", at["results"], "--metrics", at["metrics"]])
+    kept = Definitions(spark, at["definitions"])
+    kept.add_or_update(Suite("own", (NotNull("ts"), InSet("event_type", values=kinds))))
+    kept.add_or_update(Checkpoint("nightly", ((at["staged"], "own"),), COUNTS))
+    validate.main(["--definitions", at["definitions"], "--checkpoint", "nightly", "--results", at["results"] + "2", "--metrics", at["metrics"]])
+    assert [r.success for r in spark.read.parquet(at["results"] + "2").collect()] == [True, True]
+    with pytest.raises(SystemExit):
+        validate.main(["--checkpoint", "nightly", "--results", at["results"], "--metrics", at["metrics"]])
+
+    columns = ["--columns", "event_type", "purchase_value"]
+    drift.main(["--table", at["staged"], "--report", at["report"], "--metrics", at["metrics"], "--split-time", "2024-01-01T00:20:00", "--exact-pairs", "100000", *columns])
+    sides = {(r.n_ref, r.n_cur) for r in spark.read.parquet(at["report"] + "/columns").collect()}
+    assert sides == {(80, 120)}
+
+    retrain.main(["--table", at["staged"], "--key", "event_key", "--registry", at["registry"], "--trials", "2", "--search-id", "s"])
+    score.main(["--table", at["staged"], "--registry", at["registry"], "--output", at["out"], "--rejected", at["bad"]])
+    assert spark.read.parquet(at["out"]).count() == 200 and spark.read.parquet(at["bad"]).count() == 0
+    assert spark.read.parquet(at["registry"] + "/ledger").count() == 2
+
+    page.main(["--metrics", at["metrics"], "--page", at["page"]])
+    shown = [r.value for r in spark.read.text(at["page"]).collect()]
+    assert any(x.startswith("data_valition_result{") for x in shown) and any(x.startswith("model_data_drift_score{") for x in shown)
+    stage.main(["--table", at["bronze"], "--version", "0", "--output", at["staged"] + "2", "--append"])
+    assert load_table(spark, at["staged"] + "2", version=0).count() == load_table(spark, at["bronze"], version=0).count()
