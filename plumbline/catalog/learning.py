@@ -241,6 +241,63 @@ SQL_LEDGER = """trial AS (SELECT 'search_' || user_id AS search_id, CAST(event_i
     ['liblinear', 'saga', 'lbfgs'][1 + event_id % 3] AS solver, CASE WHEN event_type <> 'error' THEN floor(value / 10) / 100 END AS accuracy FROM events)"""
 
 
+FIT = training.Params(0.5, "lbfgs")
+
+SQL_FIT = f"""WITH RECURSIVE lines AS (SELECT l_quantity / 50 AS x, CASE WHEN l_quantity + 200 * l_discount > 35 THEN 1.0 ELSE 0.0 END AS y FROM lineitem
+        WHERE NOT {sql_share("CAST(l_orderkey AS VARCHAR)", 0.2)}),
+    groups_ AS (SELECT x, CAST(count(*) AS DOUBLE) AS n, sum(y) AS p FROM lines GROUP BY 1),
+    data AS (SELECT list({{'x': x, 'n': n, 'p': p}}) AS points, sum(n) AS rows_, 1 / ({FIT.c} * sum(n)) AS penalty FROM groups_),
+    newton AS (SELECT 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 UNION ALL
+        SELECT step + 1, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) FROM (
+            SELECT step, b0, b1,
+                list_sum(list_transform(points, lambda t: t.p - t.n / (1 + exp(-b0 - b1 * t.x)))) / rows_ AS g0,
+                list_sum(list_transform(points, lambda t: t.x * (t.p - t.n / (1 + exp(-b0 - b1 * t.x))))) / rows_ - penalty * b1 AS g1,
+                list_sum(list_transform(points, lambda t: t.n / (1 + exp(-b0 - b1 * t.x)) / (1 + exp(b0 + b1 * t.x)))) / rows_ AS h00,
+                list_sum(list_transform(points, lambda t: t.x * t.n / (1 + exp(-b0 - b1 * t.x)) / (1 + exp(b0 + b1 * t.x)))) / rows_ AS h01,
+                list_sum(list_transform(points, lambda t: t.x * t.x * t.n / (1 + exp(-b0 - b1 * t.x)) / (1 + exp(b0 + b1 * t.x)))) / rows_ + penalty AS h11
+            FROM newton, data WHERE step < 25))"""
+
+
+def _quantity_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Line items with one feature and a label that it tells in part; training and test rows."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.array(F.col("l_quantity") / 50).alias("x"),
+        F.when(F.col("l_quantity") + 200 * F.col("l_discount") > 35, 1.0).otherwise(0.0).alias("label"),
+    )
+    return train_test(features.vector_of(lines, "x").select("l_orderkey", "features", "label"), "l_orderkey")
+
+
+@query(
+    "train_coefficients",
+    f"{SQL_FIT} SELECT round(b0, 2) AS intercept, round(b1, 2) AS coefficient, CAST(rows_ AS BIGINT) AS n_train FROM newton, data WHERE step = 25",
+)
+def train_coefficients(spark, sf_dir):
+    """A fit with one feature, against Newton's method by a recursive query."""
+    train_rows, test_rows = _quantity_rows(spark, sf_dir)
+    with reused(train_rows) as ready:
+        model = training.train(ready, test_rows, FIT).model.stages[-1]
+        rows = training.training_shape(ready).rows
+    return spark.createDataFrame([(round(model.intercept, 2), round(float(model.coefficients[0]), 2), rows)], "intercept double, coefficient double, n_train bigint")
+
+
+@query(
+    "stored_accuracy",
+    f"""{SQL_FIT}, test AS (SELECT l_quantity / 50 AS x, CASE WHEN l_quantity + 200 * l_discount > 35 THEN 1.0 ELSE 0.0 END AS y FROM lineitem
+        WHERE {sql_share("CAST(l_orderkey AS VARCHAR)", 0.2)})
+    SELECT round(avg(CASE WHEN (b0 + b1 * x > 0) = (y = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n_test FROM test, newton WHERE step = 25""",
+)
+def stored_accuracy(spark, sf_dir):
+    """Held-out accuracy of a stored and loaded model, over its stored predictions."""
+    train_rows, test_rows = _quantity_rows(spark, sf_dir)
+    place = scratch_path(spark, "accuracy")
+    with reused(train_rows) as ready:
+        training.save_model(training.train(ready, test_rows.limit(0), FIT).model, f"{place}/model")
+    scoring.score(training.load_model(f"{place}/model"), test_rows).select("l_orderkey", "label", "prediction").write.parquet(f"{place}/predictions")
+    predictions = spark.read.parquet(f"{place}/predictions")
+    return spark.createDataFrame([(round(training.accuracy(predictions), 6), predictions.count())], "accuracy double, n_test bigint")
+
+
 @query("hpo_trials")
 def hpo_trials(spark, sf_dir):
     return _trials(spark, sf_dir)
