@@ -221,9 +221,10 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     joined by blanks, with ``n_chars`` to match.  Documents without words are in no mix.  Rows are told apart by
     64 bits of a hash of all their columns (but maps), so those that share an id or a text keep their other columns.
     """
-    columns = [quoted(c).alias(c) for c in ("doc_id", "text", "source")]
-    own = docs.select(*columns, packed(docs).alias("row"), F.xxhash64(content(docs)).alias("mark"))
-    mixed, _ = mix(own, seed=seed, mark_column="mark")
+    mark = F.xxhash64(content(docs)).alias("mark")
+    mixed, _ = mix(docs.select(*[quoted(c).alias(c) for c in ("doc_id", "text", "source")], mark), seed=seed, mark_column="mark")
+    own = docs.select(*[quoted(c).alias(c) for c in ("doc_id", "source")], packed(docs).alias("row"), mark)
+    text = F.col("row").getField(f"c{docs.columns.index('text')}")
     parts = mixed.groupBy("doc_id", "mark", "source", "start", "turn").agg(
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("parts"),
         F.sum(F.col("high") - F.col("low")).alias("words"),
@@ -232,14 +233,14 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     parts = parts.select(F.col("doc_id").alias("part_id"), F.col("mark").alias("part_mark"), F.col("source").alias("part_source"), "parts", "words", "size")
     own = own.dropDuplicates(["doc_id", "mark", "source"])  # full copies; each has its own parts
     same = F.col("doc_id").eqNullSafe(F.col("part_id")) & (F.col("mark") == F.col("part_mark")) & F.col("source").eqNullSafe(F.col("part_source"))
-    words = F.filter(F.split("text", f"[{SPACE}]+"), lambda w: w != "")
+    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
 
     def cut(own: Column) -> Column:
         return F.concat_ws(" ", F.flatten(F.transform("parts", lambda p: F.slice(own, (p["low"] + 1).cast("int"), (p["high"] - p["low"]).cast("int")))))
 
     some = F.element_at(F.transform(F.array(words), cut), 1)  # words are found once, not once for each part
     whole = F.col("words") == F.col("size")
-    rows = own.join(parts, same).withColumn("given", F.when(whole, F.col("text")).otherwise(some))
+    rows = own.join(parts, same).withColumn("given", F.when(whole, text).otherwise(some))
     new = {"text": F.col("given")}
     if "n_chars" in docs.columns:
         had = F.col("row").getField(f"c{docs.columns.index('n_chars')}")

@@ -239,18 +239,19 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap or touch become one mask.  Texts without secrets stay as they are, null ones too.
     """
     rows = docs.select(quoted("doc_id").alias("doc_id"), quoted("text").cast("string").alias("text"), packed(docs).alias("row"))
-    found = secrets(rows, carried=("text", "row"))
+    found = secrets(rows, carried=("row",))
+    text = F.col("row").getField(f"c{docs.columns.index('text')}").cast("string")
     start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
         apart = (span["start"] > state["end"]) | ((span["start"] == 0) & (state["out"] == ""))
-        gap = F.substring("text", (state["end"] + 1).cast("int"), (span["start"] - state["end"]).cast("int"))
+        gap = F.substring(text, (state["end"] + 1).cast("int"), (span["start"] - state["end"]).cast("int"))
         out = F.when(apart, F.concat(state["out"], gap, F.lit(MASK))).otherwise(state["out"])
         return F.struct(F.greatest(state["end"], span["end"]).alias("end"), out.alias("out"))
 
-    masked = F.aggregate("found", start, step, lambda s: F.concat(s["out"], F.substring("text", (s["end"] + 1).cast("int"), F.length("text"))))
+    masked = F.aggregate("found", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["end"] + 1).cast("int"), F.length(text))))
     has = F.size("found") > 0
-    found = found.withColumn("masked", F.when(has, masked).otherwise(F.col("text"))).withColumn("has", has)
+    found = found.withColumn("masked", F.when(has, masked).otherwise(text)).withColumn("has", has)
     new = {"text": F.col("masked")}
     if "n_chars" in docs.columns:
         own = F.col("row").getField(f"c{docs.columns.index('n_chars')}")
