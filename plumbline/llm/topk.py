@@ -9,7 +9,8 @@ component from below and above, and so a query's score from both sides.
    the highest first; exact vectors are read a few at a time until the kth best score is above
    every bound that is left.  Each block reports at most k rows per query, of which the k best are the result.
 
-Queries are a stated set of rows, dealt into blocks as the others are; a task holds one block of each.
+Queries are a stated set of rows, dealt into blocks as the others are; a task holds one block of each.  Each block of vectors is sent
+once for each block of queries, so these are large, and a task goes through them in slices.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import partitions, quoted, written
 
-#: Rows of a block, queries of a block, cells per component, exact vectors read at a time.
-BLOCK, QUERIES, CELLS, READ = 4096, 256, 256, 64
+#: Rows of a block, queries of a block, queries that are bounded at a time, cells per component, exact vectors read at a time.
+BLOCK, QUERIES, SLICE, CELLS, READ = 4096, 8192, 256, 256, 64
 _EXACT = 2.0**53
 
 
@@ -91,15 +92,17 @@ def _bounds(queries: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.n
     return least + (down @ spread)[:, None], least + (up @ spread)[:, None]
 
 
-def _pair(row: dict) -> tuple:
+def _slices(row: dict) -> Iterator[tuple]:
+    """A slice of the queries at a time with the bounds of all candidates: ids, the slice, its queries' ids and vectors, bounds, and which are the query's own."""
     dim = row["dim"]
     ids, qids = (np.frombuffer(row[k], dtype=np.int64) for k in ("ids", "qids"))
     queries = _matrix(row["queries"], np.int64, dim) if dim else np.zeros((len(qids), 0), dtype=np.int64)
     cells = _matrix(row["cells"], np.uint8, dim) if dim else np.zeros((len(ids), 0), dtype=np.uint8)
     low, width = (np.frombuffer(row[k], dtype=np.int64) for k in ("low", "width"))
-    least, most = _bounds(queries, cells, low, width)
-    own = qids[:, None] == ids[None, :]
-    return ids, qids, queries, least, most, own
+    for at in range(0, len(qids), SLICE):
+        part = slice(at, at + SLICE)
+        least, most = _bounds(queries[part], cells, low, width)
+        yield ids, part, qids[part], queries[part], least, most, qids[part, None] == ids[None, :]
 
 
 _NONE = np.iinfo(np.int64).min
@@ -111,12 +114,12 @@ def _scan(k: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-                ids, qids, _, least, _, own = _pair(row)
-                least = np.where(own, _NONE, least)
-                best = np.partition(least, len(ids) - k, axis=1)[:, -k:] if len(ids) > k else least
-                query = np.repeat(qids, best.shape[1])
-                real = best.ravel() != _NONE
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(real.sum(), row["dim"], dtype=np.int32)), pa.array(query[real]), pa.array(best.ravel()[real])], ["dim", "query_id", "bound"])
+                for ids, _, qids, _, least, _, own in _slices(row):
+                    least = np.where(own, _NONE, least)
+                    best = np.partition(least, len(ids) - k, axis=1)[:, -k:] if len(ids) > k else least
+                    query = np.repeat(qids, best.shape[1])
+                    real = best.ravel() != _NONE
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(real.sum(), row["dim"], dtype=np.int32)), pa.array(query[real]), pa.array(best.ravel()[real])], ["dim", "query_id", "bound"])
 
     return scan
 
@@ -127,23 +130,23 @@ def _visit(k: int):
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-                ids, qids, queries, _, most, own = _pair(row)
-                exact = _matrix(row["exact"], np.int64, row["dim"]) if row["dim"] else np.zeros((len(ids), 0), dtype=np.int64)
-                reach = np.frombuffer(row["reach"], dtype=np.int64)
-                out = []
-                for q in range(len(qids)):
-                    hopeful = np.flatnonzero((most[q] >= reach[q]) & ~own[q])
-                    hopeful = hopeful[np.argsort(-most[q][hopeful], kind="stable")]
-                    scores = np.zeros(0, dtype=np.int64)
-                    for at in range(0, len(hopeful), READ):
-                        if len(scores) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > most[q][hopeful[at]]:
-                            break
-                        scores = np.append(scores, _product(queries[q : q + 1], exact[hopeful[at : at + READ]])[0])
-                    seen = hopeful[: len(scores)]
-                    best = np.lexsort((ids[seen], -scores))[:k]
-                    out += [(int(qids[q]), int(ids[seen[b]]), int(scores[b])) for b in best]
-                columns = list(zip(*out, strict=True)) or [[]] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+                exact = _matrix(row["exact"], np.int64, row["dim"]) if row["dim"] else np.zeros((row["n"], 0), dtype=np.int64)
+                reached = np.frombuffer(row["reach"], dtype=np.int64)
+                for ids, part, qids, queries, _, most, own in _slices(row):
+                    reach, out = reached[part], []
+                    for q in range(len(qids)):
+                        hopeful = np.flatnonzero((most[q] >= reach[q]) & ~own[q])
+                        hopeful = hopeful[np.argsort(-most[q][hopeful], kind="stable")]
+                        scores = np.zeros(0, dtype=np.int64)
+                        for at in range(0, len(hopeful), READ):
+                            if len(scores) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > most[q][hopeful[at]]:
+                                break
+                            scores = np.append(scores, _product(queries[q : q + 1], exact[hopeful[at : at + READ]])[0])
+                        seen = hopeful[: len(scores)]
+                        best = np.lexsort((ids[seen], -scores))[:k]
+                        out += [(int(qids[q]), int(ids[seen[b]]), int(scores[b])) for b in best]
+                    columns = list(zip(*out, strict=True)) or [[]] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
     return visit
 
@@ -164,7 +167,7 @@ def _against(blocks: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     spread = queries.join(numbers, F.col("dim") == F.col("d")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("most"))).alias("b"))
     spread = spread.drop("d", "most").withColumnRenamed("dim", "qdim").repartition(n, "qblock", "b")
     met = blocks.join(spread, (F.col("dim") == F.col("qdim")) & (F.col("block") == F.col("b")))
-    return met.drop("qdim", "b", "n").repartition(n, "qblock", "block")
+    return met.drop("qdim", "b").repartition(n, "qblock", "block")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:

@@ -19,7 +19,7 @@ def brute(rows, k, is_query):
 
 def test_blocks_ties_repeats_and_dimensions(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 40)
-    monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "QUERIES", 12)
     draw = np.random.default_rng(1)
     rows = [(k, draw.integers(-9, 9, 6).tolist()) for k in range(300)]
     rows += [(k, rows[k - 400][1]) for k in range(400, 440)]  # ties
@@ -49,3 +49,11 @@ def test_vectors_that_take_no_part(spark):
     got = topk.top_k(ints, F.col("vec_id") % 100 == 0).collect()
     assert [tuple(r) for r in got] == [(0, 1, 6, 512 * 512 + 1024 * 1024), (0, 2, 5, -512 + 1024 * 256)]
     assert topk.top_k(ints.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_a_block_of_more_queries_than_a_slice(spark):
+    draw = np.random.default_rng(5)
+    rows = [(k, draw.integers(-50, 50, 8).tolist()) for k in range(2 * topk.SLICE + 90)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>").repartition(2)
+    got = topk.top_k(df, F.lit(True), 4).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 4, lambda i: True)
