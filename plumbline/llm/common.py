@@ -24,17 +24,22 @@ def text_of(name: str) -> Column:
     return F.coalesce(quoted(name).cast("string"), F.lit(""))
 
 
-def packed(docs: DataFrame) -> Column:
-    """A row's columns, whatever their names and however many, as one value; ``unpacked`` gives them back.
+def packed(docs: DataFrame) -> list[Column]:
+    """A row's columns, whatever their names, under names by their place; ``unpacked`` gives them back.
 
-    An operator that carries this beside its own columns can't meet a name that it uses itself.
+    An operator that has no names of this kind itself can't meet a user's.
     """
-    return F.struct(*[quoted(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    return [quoted(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
 
 
-def unpacked(docs: DataFrame, row: str, new: dict[str, Column] | None = None) -> list[Column]:
-    """The columns of ``docs`` out of the column ``row`` that holds them, with those in ``new`` in place of their own."""
-    return [(new or {}).get(c, F.col(row).getField(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
+def place(docs: DataFrame, name: str) -> str:
+    """Under which name ``packed`` carries a column."""
+    return f"c{docs.columns.index(name)}"
+
+
+def unpacked(docs: DataFrame, new: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``docs`` that ``packed`` carried, with those in ``new`` in place of their own."""
+    return [(new or {}).get(c, F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
 
 
 def content(docs: DataFrame) -> Column:

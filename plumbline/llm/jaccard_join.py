@@ -369,7 +369,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     names = ["mark_0", "mark_1"]
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.mark_0", "doc_id.mark_1", "n_shingles")
     stays = written(stays.groupBy(*names).agg(((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("again")), "stays")
-    rows = docs.select(packed(docs).alias("row"), *marks).join(stays, names)
+    rows = docs.select(*packed(docs), *marks).join(stays, names)
     # only repeated rows are shuffled for it
     rows = rows.where(~F.col("again")).union(rows.where("again").dropDuplicates(names))
-    return rows.select(*unpacked(docs, "row"))
+    return rows.select(*unpacked(docs))

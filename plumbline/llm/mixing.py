@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, content, packed, partitions, quoted, text_of, unpacked, written
+from plumbline.llm.common import SPACE, content, packed, partitions, place, quoted, text_of, unpacked, written
 
 #: Words of a block, slots of an output shard, documents whose order one task finds, times a source may be repeated.
 BLOCK, SHARD, BUCKET, REPEATS = 32, 16_384, 20_000, 3
@@ -223,8 +223,8 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     """
     mark = F.xxhash64(content(docs)).alias("mark")
     mixed, _ = mix(docs.select(*[quoted(c).alias(c) for c in ("doc_id", "text", "source")], mark), seed=seed, mark_column="mark")
-    own = docs.select(*[quoted(c).alias(c) for c in ("doc_id", "source")], packed(docs).alias("row"), mark)
-    text = F.col("row").getField(f"c{docs.columns.index('text')}")
+    own = docs.select(*[quoted(c).alias(c) for c in ("doc_id", "source")], *packed(docs), mark)
+    text = F.col(place(docs, "text"))
     parts = mixed.groupBy("doc_id", "mark", "source", "start", "turn").agg(
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("parts"),
         F.sum(F.col("high") - F.col("low")).alias("words"),
@@ -243,6 +243,5 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     rows = own.join(parts, same).withColumn("given", F.when(whole, text).otherwise(some))
     new = {"text": F.col("given")}
     if "n_chars" in docs.columns:
-        had = F.col("row").getField(f"c{docs.columns.index('n_chars')}")
-        new["n_chars"] = F.when(whole, had).otherwise(F.length("given").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*unpacked(docs, "row", new))
+        new["n_chars"] = F.when(whole, F.col(place(docs, "n_chars"))).otherwise(F.length("given").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*unpacked(docs, new))

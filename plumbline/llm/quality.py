@@ -233,10 +233,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score at least one half, as they are; rows of one id are judged each by their own text."""
     mark = F.xxhash64(text_of("text"))
-    rows = docs.select(packed(docs).alias("row"), quoted("doc_id").alias("doc_id"), mark.alias("mark"))
+    rows = docs.select(*packed(docs), quoted("doc_id").alias("doc_id"), mark.alias("mark"))
     key = F.struct(quoted("doc_id").alias("doc_id"), mark.alias("mark"))
     x = written(measures(docs.select(key.alias("key"), text_of("text").alias("text")), "key", "text"), "measures")
     model = learn(x.select(F.col("doc_id.doc_id").alias("doc_id"), "x"), labels)
     bad = score(x, model).where("score < 0.5").select(F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.mark").alias("bad_mark")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("mark") == F.col("bad_mark"))
-    return rows.join(written(bad, "rejected"), same, "left_anti").select(*unpacked(docs, "row"))
+    return rows.join(written(bad, "rejected"), same, "left_anti").select(*unpacked(docs))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import packed, quoted, text_of, unpacked, written
+from plumbline.llm.common import packed, place, quoted, text_of, unpacked, written
 
 # The kinds of secrets and their patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -238,9 +238,9 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     Spans that overlap or touch become one mask.  Texts without secrets stay as they are, null ones too.
     """
-    rows = docs.select(quoted("doc_id").alias("doc_id"), quoted("text").cast("string").alias("text"), packed(docs).alias("row"))
-    found = secrets(rows, carried=("row",))
-    text = F.col("row").getField(f"c{docs.columns.index('text')}").cast("string")
+    rows = docs.select(quoted("doc_id").alias("doc_id"), quoted("text").cast("string").alias("text"), *packed(docs))
+    found = secrets(rows, carried=tuple(rows.columns[2:]))
+    text = F.col(place(docs, "text")).cast("string")
     start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -254,6 +254,5 @@ def redacted(docs: DataFrame) -> DataFrame:
     found = found.withColumn("masked", F.when(has, masked).otherwise(text)).withColumn("has", has)
     new = {"text": F.col("masked")}
     if "n_chars" in docs.columns:
-        own = F.col("row").getField(f"c{docs.columns.index('n_chars')}")
-        new["n_chars"] = F.when(F.col("has"), F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(own)
-    return found.select(*unpacked(docs, "row", new))
+        new["n_chars"] = F.when(F.col("has"), F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(place(docs, "n_chars")))
+    return found.select(*unpacked(docs, new))
