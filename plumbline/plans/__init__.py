@@ -1 +1 @@
-"""The four jobs: ingest, validate, drift and retrain.  Each module has a ``main``."""
+"""The seven jobs: ingest, stage, validate, drift, retrain, score and page.  Each module has a ``main``."""
