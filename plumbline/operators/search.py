@@ -10,14 +10,16 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.classification import OneVsRest, OneVsRestModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.operators.training import SOLVERS, Params, accuracy, classifier, training_shape
-from plumbline.sources.tables import append_rows, read_log, reused
+from plumbline.operators.training import SOLVERS, Params, TrainingShape, accuracy, classifier, one_against_rest, training_shape
+from plumbline.session import free_storage
+from plumbline.sources.tables import append_rows, read_log, reused, stored
 
 # Size of the search and range of the inverse penalty.
 N_TRIALS = 20
@@ -56,24 +58,43 @@ def _predicted(model, rows: DataFrame, name: str) -> DataFrame:
     return model.transform(rows)
 
 
+def _room(ready: DataFrame, shape: TrainingShape) -> int:
+    """How many fits the executors can keep their rows for: each keeps its own scaled copy, 12 bytes a nonzero cell."""
+    if not shape.rows:
+        return 1
+    cells = ready.select(Summarizer.metrics("numNonZeros").summary(F.col("features")).alias("s")).first().s.numNonZeros
+    held = 12 * float(cells.toArray().sum()) + 16 * shape.rows
+    return max(1, int(0.8 * free_storage(ready.sparkSession) / held))
+
+
+def side_by_side(trials: Sequence[Params], shape: TrainingShape, room: int, parallelism: int) -> tuple[int, int]:
+    """How many trials to fit at once, and how many classes of each that fits one class against the rest: no more fits than there is room for."""
+    at_once = max(1, min(parallelism, len(trials), room))
+    by_class = min(at_once, sum(one_against_rest(params, shape) for params in trials))
+    spare = room - (at_once - by_class)
+    return at_once, max(1, min(shape.classes, spare // by_class)) if by_class else 1
+
+
 def run_trials(
     train: DataFrame, test: DataFrame, trials: Sequence[Params], parallelism: int = 4
 ) -> DataFrame:
     """One row per trial: parameters and held-out accuracy.
 
-    All trials share one split.  Fits run side by side over one materialised training set, and
-    one scan of the test set judges all of them.
+    All trials share one split.  Fits, also those of one class against the rest, run side by side over one
+    stored training set, as many as memory has room for, and one scan of the test set judges all of them.
     """
     spark = train.sparkSession
     columns = ["features", "label"]
-    with reused(train.select(*columns)) as ready:
-        shape = training_shape(ready)
+    ready = stored(train.select(*columns), "training")
+    shape = training_shape(ready)
+    at_once, classes_at_once = side_by_side(trials, shape, _room(ready, shape), parallelism)
 
-        def fit(params: Params):
-            return classifier(params, shape).fit(ready)
+    def fit(params: Params):
+        one = classifier(params, shape)
+        return (one.setParallelism(classes_at_once) if isinstance(one, OneVsRest) else one).fit(ready)
 
-        with ThreadPool(min(parallelism, len(trials))) as pool:
-            models = pool.map(inheritable_thread_target(spark)(fit), trials)
+    with ThreadPool(at_once) as pool:
+        models = pool.map(inheritable_thread_target(spark)(fit), trials)
     scored = test.select(*columns)
     for at, model in enumerate(models):
         scored = _predicted(model, scored, f"p_{at}")

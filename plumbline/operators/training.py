@@ -39,6 +39,11 @@ def training_shape(train: DataFrame, label: str = "label") -> TrainingShape:
     return TrainingShape(seen.rows, seen.classes)
 
 
+def one_against_rest(params: Params, shape: TrainingShape) -> bool:
+    """Whether a fit is one of each class against the rest."""
+    return params.solver == "liblinear" and shape.classes > 2
+
+
 def classifier(
     params: Params,
     shape: TrainingShape,
@@ -62,7 +67,7 @@ def classifier(
         standardization=False,
         maxIter=iterations,
     )
-    if params.solver == "liblinear" and shape.classes > 2:
+    if one_against_rest(params, shape):
         return OneVsRest(classifier=logistic, featuresCol=features, labelCol=label)
     return logistic
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import statistics
 import tempfile
 import uuid
 
@@ -45,6 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def free_storage(spark: SparkSession) -> int:
+    """Bytes of memory that all executors together still have for kept rows; the driver's own are left out where it isn't the only one."""
+    entries, free = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().iterator(), []
+    while entries.hasNext():
+        free.append(entries.next()._2()._2())
+    return statistics.median_high(free) * max(1, len(free) - 1)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

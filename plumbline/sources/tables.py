@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from plumbline.session import scratch_path
+
 
 def is_path(ref: str) -> bool:
     return "/" in ref
@@ -57,6 +59,17 @@ def reused(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for hundreds of passes over rows that are costly to make.
+
+    Its partitions go by what was written, not by the input it was made from, and a task that reads them carries
+    nothing of how they were made; unlike :func:`reused` it takes no memory from what the passes keep themselves.
+    """
+    place = scratch_path(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)
+
+
 def append_rows(df: DataFrame, ref: str, partition_by: Sequence[str] = ()) -> None:
     """Append result rows to a parquet folder or a catalog table."""
     writer = df.write.mode("append")

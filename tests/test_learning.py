@@ -3,7 +3,7 @@ import math
 
 import pytest
 from conftest import SF_SMALL
-from pyspark.ml.classification import OneVsRest, OneVsRestModel
+from pyspark.ml.classification import LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -88,6 +88,36 @@ def test_trials_share_one_split_and_match_single_fits(prepared):
         assert row.accuracy == pytest.approx(training.train(train_rows, test_rows, params).accuracy)
 
 
+def test_fits_go_side_by_side_over_few_partitions(prepared, monkeypatch):
+    """A pass costs a task per partition, and there are hundreds: partitions go by the features, not by the texts; classes don't wait for each other."""
+    _, train_rows, test_rows = prepared
+    seen = []
+
+    def watched(kind, at_once):
+        fit = kind._fit
+        monkeypatch.setattr(kind, "_fit", lambda self, rows: seen.append((rows.rdd.getNumPartitions(), at_once(self))) or fit(self, rows))
+
+    watched(OneVsRest, lambda one: one.getParallelism())
+    watched(LogisticRegression, lambda one: 0)
+    search.run_trials(train_rows.repartition(40), test_rows, [Params(0.05, "liblinear"), Params(0.05, "lbfgs")]).collect()
+    assert all(parts < 40 for parts, _ in seen)
+    assert sorted(at_once for _, at_once in seen) == [0, 0, 0, 0, 3]
+
+
+@pytest.mark.parametrize("room, solvers, classes, expected", [
+    (1, ["liblinear", "lbfgs"], 4, (1, 1)),
+    (2, ["liblinear", "lbfgs"], 4, (2, 1)),
+    (4, ["liblinear", "lbfgs"], 4, (2, 3)),
+    (99, ["liblinear", "lbfgs"], 4, (2, 4)),
+    (4, ["liblinear"] * 3, 4, (3, 1)),
+    (99, ["lbfgs"] * 9, 4, (4, 1)),
+    (99, ["liblinear"], 2, (1, 1)),
+])
+def test_no_more_fits_at_once_than_memory_has_room_for(room, solvers, classes, expected):
+    trials = [Params(0.1, solver) for solver in solvers]
+    assert search.side_by_side(trials, TrainingShape(100, classes), room, 4) == expected
+
+
 def test_draws_are_seeded_and_in_range():
     drawn = search.draw()
     assert len(drawn) == 20 and drawn == search.draw()
