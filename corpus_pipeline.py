@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import byte_bpe, jaccard_join, mixing, quality, secrets
 from plumbline.llm.common import written
-from plumbline.session import pin_utc
+from plumbline.session import bound_batches, pin_utc
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    bound_batches(spark)
     return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest id."""
+    bound_batches(spark)
     return jaccard_join.one_of_each(docs, width=5, percent=80)
 
 
@@ -36,8 +38,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and a digest of the bytes that they decode to."""
+    bound_batches(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = byte_bpe.encode(docs, "doc_id", "text", path, pattern)
+    # written in between, so that no task holds two Python workers, one of each step
+    tokens = written(byte_bpe.encode(docs, "doc_id", "text", path, pattern), "tokens")
     tokens = tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("ids").alias("_ids"))
     back = byte_bpe.decode(tokens, "_ids", path, pattern)
     return back.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -75,9 +75,11 @@ def _bytes_of(x: np.ndarray) -> np.ndarray:
 
 
 def _ids_of(parts: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(-1, 6)
-    out = np.zeros((len(raw), 8), dtype=np.uint8)
-    out[:, :6] = raw
+    out, at = np.zeros((sum(map(len, parts)) // 6, 8), dtype=np.uint8), 0
+    for part in parts:
+        raw = np.frombuffer(part, dtype=np.uint8).reshape(-1, 6)
+        out[at : at + len(raw), :6] = raw
+        at += len(raw)
     return out.view("<u8").ravel()
 
 
@@ -126,15 +128,20 @@ def _shared(n: int):
         first = np.zeros(len(sigs), dtype=bool)
         first[np.unique(sigs, return_index=True)[1]] = True
         ids, sigs, sizes, counts = ids[np.repeat(first, counts)], sigs[first], sizes[first], counts[first]
-        owner = np.repeat(np.arange(len(sigs)), counts)
         order = np.argsort(ids)
         lined = ids[order]
+        # few arrays of a fragment's length at a time: only what occurs twice is counted
+        twice = np.zeros(len(lined), dtype=bool)
+        twice[1:] = lined[1:] == lined[:-1]
+        twice[:-1] |= twice[1:]
+        order, lined = order[twice], lined[twice]
         opens = np.flatnonzero(np.r_[True, lined[1:] != lined[:-1]]) if len(lined) else np.zeros(0, dtype=np.int64)
         runs = np.diff(np.r_[opens, len(lined)])
-        df = np.empty(len(ids), dtype=np.int32)
-        df[order] = np.repeat(runs, runs)
+        df = np.zeros(len(ids), dtype=np.int32)
+        df[order] = np.repeat(runs.astype(np.int32), runs)
+        del order, lined, opens, runs
         many = df > 1
-        ids, df, owner = ids[many], df[many], owner[many]
+        ids, df, owner = ids[many], df[many], np.repeat(np.arange(len(sigs), dtype=np.int32), counts)[many]
         bundle = (sigs.view(np.uint64) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
         counts = np.bincount(owner, minlength=len(sigs)).astype(np.int32)
         rows = []
@@ -163,7 +170,7 @@ def _survivors(percent: int):
         size = np.zeros(len(own), dtype=np.int64)
         size[where] = sizes
         shared = np.bincount(where, weights=counts, minlength=len(own)).astype(np.int64)
-        owner = np.repeat(where, counts)
+        owner = np.repeat(where.astype(np.int32), counts)
         keep = (100 * shared >= percent * size)[owner]
         ids, df, owner = ids[keep], df[keep], owner[keep]
         order = np.lexsort((ids, df, owner))

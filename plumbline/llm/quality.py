@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import packed, quoted, text_of, unpacked, written
+from plumbline.llm.common import quoted, text_of, written
 from plumbline.llm.texthash import words_of
 
 #: Labelled rows that the model is fitted on, at most: a sample by hash of the id if there are more.
@@ -60,19 +60,24 @@ def measured(raw, starts, ends, hashes, pairs) -> list[float]:
     ]
 
 
+def measured_texts(texts: pa.Array) -> list[list[float]]:
+    """The measures of each text of an Arrow column."""
+    rows = []
+    for _, words in words_of(texts):
+        pairs, edges = words.shingles(2)
+        for i, (a, b) in enumerate(zip(words.bounds[:-1], words.bounds[1:], strict=True)):
+            base, end = words.edges[i], words.edges[i + 1]
+            rows.append(measured(words.raw[base:end], words.starts[a:b] - base, words.ends[a:b] - base, words.hashes[a:b], pairs[edges[i] : edges[i + 1]]))
+    return rows
+
+
 def measures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Columns ``doc_id, x``: the measures of each whole text; a null text is an empty one."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for _, words in words_of(batch.column(1)):
-                pairs, edges = words.shingles(2)
-                for i, (a, b) in enumerate(zip(words.bounds[:-1], words.bounds[1:], strict=True)):
-                    base, end = words.edges[i], words.edges[i + 1]
-                    rows.append(measured(words.raw[base:end], words.starts[a:b] - base, words.ends[a:b] - base, words.hashes[a:b], pairs[edges[i] : edges[i + 1]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(measured_texts(batch.column(1)), pa.list_(pa.float64()))], ["doc_id", "x"])
 
     return docs.select(quoted(id_column).alias("doc_id"), text_of(text_column).alias("text")).mapInArrow(measure, f"doc_id {kind}, x array<double>")
 
@@ -230,13 +235,21 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def text_score(text: Column, model: Additive) -> Column:
+    """The score of a text, beside the other columns of its row."""
+
+    @F.arrow_udf("double")
+    def apply(texts: pa.Array) -> pa.Array:
+        x = np.array(measured_texts(texts), dtype=np.float64).reshape(-1, len(MEASURES))
+        return pa.array(model.scores(x), pa.float64())
+
+    return apply(text)
+
+
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score at least one half, as they are; rows of one id are judged each by their own text."""
-    mark = F.xxhash64(text_of("text"))
-    rows = docs.select(*packed(docs), quoted("doc_id").alias("doc_id"), mark.alias("mark"))
-    key = F.struct(quoted("doc_id").alias("doc_id"), mark.alias("mark"))
-    x = written(measures(docs.select(key.alias("key"), text_of("text").alias("text")), "key", "text"), "measures")
-    model = learn(x.select(F.col("doc_id.doc_id").alias("doc_id"), "x"), labels)
-    bad = score(x, model).where("score < 0.5").select(F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.mark").alias("bad_mark")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("mark") == F.col("bad_mark"))
-    return rows.join(written(bad, "rejected"), same, "left_anti").select(*unpacked(docs))
+    """The rows of ``docs`` that score at least one half, as they are; rows of one id are judged each by their own text.
+
+    Texts are measured again when rows are judged, so that no row has to be shuffled to meet its score.
+    """
+    model = learn(written(measures(docs, "doc_id", "text"), "measures"), labels)
+    return docs.where(text_score(text_of("text"), model) >= 0.5)

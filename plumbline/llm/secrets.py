@@ -193,14 +193,16 @@ def secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         _matches(F.col("_text"), f"(?<!{HEX[:-1]}){HEX[:-1]}{{{HEX_LEAST},}}+", 2, lambda v: F.length(v) >= HEX_LEAST),
     )
     tokens = _matches(F.col("_text"), TOKEN % TOKEN_LEAST, 3, lambda v: _encoding(v).isNotNull())
-    spans = written(rows.select("doc_id", *map(quoted, carried), F.array_sort(base).alias("base"), tokens.alias("tokens")), "spans")
+    spans = rows.select("doc_id", *map(quoted, carried), F.array_sort(base).alias("base"), tokens.alias("tokens"))
 
     clear = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     scored = F.transform(
         clear,
         lambda t: F.struct(t.alias("span"), _encoding(t["text"]).alias("encoding"), _stratum(F.length(t["text"])).alias("stratum"), battery(t["text"], _encoding(t["text"])).alias("p")),
     )
-    judged = spans.withColumn("tests", F.when(F.size("tokens") > 0, scored))
+    # tokens are tested once, in the pass that finds them: the limits and the judging read their p-values
+    tests = F.when(F.size("tokens") > 0, scored).alias("tests")
+    judged = written(spans.select("doc_id", *map(quoted, carried), "base", tests), "spans")
     chosen = limits(judged.select(F.explode("tests").alias("t")).select("t.encoding", "t.stratum", "t.p", F.col("t.span.text").alias("token")))
     random = F.transform(F.filter(F.coalesce("tests", F.array().cast(judged.schema["tests"].dataType)), lambda t: _passes(t, chosen)), lambda t: t["span"])
     return judged.select("doc_id", *map(quoted, carried), "base", F.array_sort(F.concat(F.col("base"), random.cast(_SPANS))).alias("found"))

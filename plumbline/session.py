@@ -30,6 +30,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of an Arrow batch: Spark's own bound is one of rows, of which ten thousand long texts take a worker's memory.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Batches that Spark sends to Python hold few bytes, whatever the length of a row's text."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from messy import empty, frame, lower, rows, words
 
 from plumbline.llm import jaccard_join
@@ -80,3 +83,18 @@ def test_one_row_of_each_component_stays(spark):
     docs = [(1, long[0]), (7, long[0] + " more"), (7, long[1]), (7, long[2]), (None, long[2]), (None, long[2]), (None, "no id but twice"), (None, "no id but twice"), (9, ""), (9, "")]
     got = jaccard_join.one_of_each(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([docs[0], docs[2], docs[3], docs[6], docs[8], docs[9]], key=repr)
+
+
+def test_a_fragment_is_counted_in_few_arrays_of_its_length():
+    ids = np.random.default_rng(5).integers(0, 2**64, 400_000, dtype=np.uint64)
+    ids = np.concatenate([np.sort(ids), np.sort(ids)[:50]])
+    n = np.array([400_000, 50], dtype=np.int32)
+    columns = (np.array([1, 2], dtype=np.int64).tobytes(), n.tobytes(), n.tobytes(), jaccard_join._bytes_of(ids).tobytes())
+    table = pa.table([pa.array([c], pa.binary()) for c in columns], names=["sigs", "sizes", "counts", "ids"])
+    tracemalloc.start()
+    out = jaccard_join._shared(1)(table).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [np.frombuffer(r["counts"], dtype=np.int32).tolist() for r in out] == [[50, 50]]
+    assert set(np.frombuffer(out[0]["df"], dtype=np.int32)) == {2}
+    assert peak < 40 * len(ids)  # five numbers of eight bytes

@@ -64,3 +64,18 @@ def test_a_label_of_many_copies_is_learnt_alike(spark):
     sample = x.limit(50)
     a, b = ({r.doc_id: r.score for r in quality.score(sample, m).collect()} for m in (one, two))
     assert a == b
+
+
+def test_texts_are_judged_where_they_lie(spark, capsys):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    good = quality.kept_documents(docs, labels)
+    good.explain()
+    plan = capsys.readouterr().out
+    assert "Filter" in plan and "Join" not in plan and "Exchange" not in plan
+    scores = {r.doc_id: r.score for r in quality.scored(docs, labels).collect()}
+    assert sorted(r.doc_id for r in good.collect()) == sorted(i for i, s in scores.items() if s >= 0.5)
+
+
+def test_tokens_are_tested_once(spark, capsys):
+    secrets.redacted(spark.createDataFrame([(1, "key a8F3kq9ZpL2mX7vB4tRw"), (2, None)], "doc_id long, text string")).explain()
+    assert "1.330274429" not in capsys.readouterr().out  # of the tests' tail
