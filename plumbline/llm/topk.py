@@ -3,14 +3,18 @@
 Vectors are kept twice: exactly, and as one byte per component that names a cell of a grid.  A cell bounds its
 component from below and above, and so a query's score from both sides.
 
-1. Scan: for blocks of queries against blocks of approximations, the k highest lower bounds of each query.
-   The kth highest of all blocks is a score that the result will reach.
-2. Visit: in each block, candidates whose upper bound reaches that score, in the order of their upper bounds,
-   the highest first; exact vectors are read a few at a time until the kth best score is above
-   every bound that is left.  Each block reports at most k rows per query, of which the k best are the result.
-
-Queries are a stated set of rows, dealt into blocks as the others are; a task holds one block of each.  Each block of vectors is sent
-once for each block of queries, so these are large, and a task goes through them in slices.
+Blocks of vectors are dealt to shares, blocks of queries to groups; a task holds one share and one group, and meets each pair of blocks in slices of queries:
+
+1. Scan: bounds of all its vectors by their cells.  As long as a query has no score that it is sure to reach,
+   the kth highest of some lower bounds is one.
+2. Visit: candidates whose upper bound reaches that score, in the order of their upper bounds, the highest first;
+   exact vectors are read a few at a time until the kth best score is above every bound that is left.
+   Each share reports at most k rows per query, of which the k best are the result.
+
+Shares are gone through in waves, each with eight times as many as those before it: the kth best score of a query in earlier waves is what
+later shares have to reach, so that few of their exact vectors are read and few rows reported.  Every share meets every group, once.
+Copies of a block for the other side's groups or shares leave Python one at a time; a row is never exploded, as Spark holds all
+rows that come from one in memory.
 """
 
 from __future__ import annotations
@@ -22,11 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import partitions, quoted, written
+from plumbline.llm.common import quoted, written
+from plumbline.session import bound_batches
 
 #: Rows of a block, queries of a block, queries that are bounded at a time, cells per component, exact vectors read at a time.
 BLOCK, QUERIES, SLICE, CELLS, READ = 4096, 8192, 256, 256, 64
-_EXACT = 2.0**53
+#: Components of a block at most, of a share of the vectors, of a group of the queries; how many times as many shares a wave has as those before it.
+ROOM, SHARE, GROUP, WAVE = 1 << 20, 1 << 22, 1 << 23, 8
+#: Bounds whose highest is looked at first.
+_RUN = 64
 
 
 def integers(vectors: DataFrame, id_column: str, vector_column: str, scale: int = 1024) -> DataFrame:
@@ -43,131 +51,221 @@ def _numbers(vec: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
 
 
-_PACKED = "dim int, block long, n int, ids binary, exact binary, cells binary, low binary, width binary"
+def _small(numbers: np.ndarray) -> bytes:
+    """The numbers in as few bytes each as hold them all."""
+    ends = (int(numbers.min(initial=0)), int(numbers.max(initial=0)))
+    kind = next(k for k in (np.int16, np.int32, np.int64) if np.iinfo(k).min <= ends[0] and ends[1] <= np.iinfo(k).max)
+    return numbers.astype(kind).tobytes()
 
 
-def _pack(table: pa.Table) -> pa.Table:
-    """A block's vectors: exact, and as cells of a grid between each component's least and greatest value in the block."""
-    dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
-    ids = np.array(table.column("vec_id").to_pylist(), dtype=np.int64)
-    exact = _numbers(table.column("vec"), dim)
-    order = np.lexsort((*exact.T[::-1], ids)) if dim else np.argsort(ids)
-    ids, exact = ids[order], exact[order]
-    low = exact.min(axis=0) if dim else np.zeros(0, dtype=np.int64)
-    width = (exact.max(axis=0) - low) // CELLS + 1 if dim else low
-    cells = ((exact - low) // width).astype(np.uint8)
-    row = (dim, block, len(ids), *(x.tobytes() for x in (ids, exact, cells, low, width)))
-    kinds = (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5)
-    names = [f.split()[0] for f in _PACKED.split(", ")]
-    return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names)
-
-
-def packed(vectors: DataFrame, size: int) -> DataFrame:
-    """Blocks of about ``size`` vectors of one dimension, dealt by a hash of all they are."""
-    counts = vectors.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("rows"))
-    blocks = counts.select(F.col("dim").alias("d"), F.ceil(F.col("rows") / size).cast("long").alias("blocks"))
-    rows = vectors.withColumn("dim", F.size("vec")).join(F.broadcast(blocks), F.col("dim") == F.col("d"))
-    rows = rows.select("dim", F.pmod(F.xxhash64("vec_id", "vec"), F.col("blocks")).alias("block"), "vec_id", "vec")
-    return rows.groupBy("dim", "block").applyInArrow(_pack, _PACKED)
-
-
-def _matrix(data: bytes, kind, dim: int) -> np.ndarray:
-    return np.frombuffer(data, dtype=kind).reshape(-1, dim)
-
-
-def _product(queries: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Exact integer products of rows: by floating-point arithmetic where it is exact."""
-    top = float(np.abs(queries).max(initial=0)) * float(np.abs(others).max(initial=0)) * max(1, queries.shape[1])
-    if top < _EXACT:
-        return (queries.astype(np.float64) @ others.T.astype(np.float64)).astype(np.int64)
-    return queries @ others.T
-
-
-def _bounds(queries: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest score that each cell allows each query."""
-    floor = low + cells.astype(np.int64) * width
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    least = _product(queries, floor)
-    spread = width - 1  # a cell's numbers are floor .. floor + width - 1
-    return least + (down @ spread)[:, None], least + (up @ spread)[:, None]
-
-
-def _slices(row: dict) -> Iterator[tuple]:
-    """A slice of the queries at a time with the bounds of all candidates: ids, the slice, its queries' ids and vectors, bounds, and which are the query's own."""
-    dim = row["dim"]
-    ids, qids = (np.frombuffer(row[k], dtype=np.int64) for k in ("ids", "qids"))
-    queries = _matrix(row["queries"], np.int64, dim) if dim else np.zeros((len(qids), 0), dtype=np.int64)
-    cells = _matrix(row["cells"], np.uint8, dim) if dim else np.zeros((len(ids), 0), dtype=np.uint8)
-    low, width = (np.frombuffer(row[k], dtype=np.int64) for k in ("low", "width"))
-    for at in range(0, len(qids), SLICE):
-        part = slice(at, at + SLICE)
-        least, most = _bounds(queries[part], cells, low, width)
-        yield ids, part, qids[part], queries[part], least, most, qids[part, None] == ids[None, :]
+def _matrix(data: np.ndarray, n: int, dim: int) -> np.ndarray:
+    """The numbers that ``_small`` stored, a row for each vector."""
+    return data.view(f"i{len(data) // (n * dim) if n * dim else 8}").reshape(n, dim)
 
 
-_NONE = np.iinfo(np.int64).min
+def _rows(table: pa.Table) -> Iterator[dict]:
+    """A table's rows; bytes as arrays where they lie."""
+    for batch in table.to_batches():
+        for i in range(len(batch)):
+            values = ((name, column[i]) for name, column in zip(batch.schema.names, batch.columns, strict=True))
+            yield {name: np.frombuffer(x.as_buffer(), dtype=np.int8) if pa.types.is_binary(x.type) else x.as_py() for name, x in values}
 
 
-def _scan(k: int):
-    """The k highest lower bounds of each query in a block."""
+def _row(schema: str, *values) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([value], kinds[kind]) for (name, kind), value in zip(fields, values, strict=True)})
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-                for ids, _, qids, _, least, _, own in _slices(row):
-                    least = np.where(own, _NONE, least)
-                    best = np.partition(least, len(ids) - k, axis=1)[:, -k:] if len(ids) > k else least
-                    query = np.repeat(qids, best.shape[1])
-                    real = best.ravel() != _NONE
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(real.sum(), row["dim"], dtype=np.int32)), pa.array(query[real]), pa.array(best.ravel()[real])], ["dim", "query_id", "bound"])
 
-    return scan
+_PACKED = "dim int, share long, n int, ids binary, exact binary, cells binary, low binary, width binary"
 
 
-def _visit(k: int):
-    """Each query's k best of a block, in the order (score, least id), by exact vectors read until they are certain."""
+def _pack(table: pa.Table) -> pa.Table:
+    """A block's vectors: exact, and as cells of a grid between each component's least and greatest value in the block, counted from its middle."""
+    dim, share = (table.column(c)[0].as_py() for c in ("dim", "share"))
+    ids, exact = table.column("vec_id").to_numpy(), _numbers(table.column("vec"), dim)
+    order = np.argsort(ids, kind="stable")
+    ids, exact = ids[order], exact[order]
+    low = exact.min(axis=0)
+    width = (exact.max(axis=0) - low) // CELLS + 1
+    cells = ((exact - low) // width - CELLS // 2).astype(np.int8)
+    return _row(_PACKED, dim, share, len(ids), ids.tobytes(), _small(exact), cells.tobytes(), low.tobytes(), width.tobytes())
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-                exact = _matrix(row["exact"], np.int64, row["dim"]) if row["dim"] else np.zeros((row["n"], 0), dtype=np.int64)
-                reached = np.frombuffer(row["reach"], dtype=np.int64)
-                for ids, part, qids, queries, _, most, own in _slices(row):
-                    reach, out = reached[part], []
-                    for q in range(len(qids)):
-                        hopeful = np.flatnonzero((most[q] >= reach[q]) & ~own[q])
-                        hopeful = hopeful[np.argsort(-most[q][hopeful], kind="stable")]
-                        scores = np.zeros(0, dtype=np.int64)
-                        for at in range(0, len(hopeful), READ):
-                            if len(scores) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > most[q][hopeful[at]]:
-                                break
-                            scores = np.append(scores, _product(queries[q : q + 1], exact[hopeful[at : at + READ]])[0])
-                        seen = hopeful[: len(scores)]
-                        best = np.lexsort((ids[seen], -scores))[:k]
-                        out += [(int(qids[q]), int(ids[seen[b]]), int(scores[b])) for b in best]
-                    columns = list(zip(*out, strict=True)) or [[]] * 3
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
-
-    return visit
+
+_GATHERED = "dim int, group long, n int, qids binary, queries binary, reach binary"
 
 
 def _gather(table: pa.Table) -> pa.Table:
     """A block of queries with the score that each is sure to reach."""
-    dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
-    ids = np.array(table.column("query_id").to_pylist(), dtype=np.int64)
-    reach = np.array(table.column("reach").to_pylist(), dtype=np.int64)
-    row = (dim, block, ids.tobytes(), _numbers(table.column("vec"), dim).tobytes(), reach.tobytes())
-    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 3)
-    return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], ["dim", "qblock", "qids", "queries", "reach"])
+    dim, group = (table.column(c)[0].as_py() for c in ("dim", "group"))
+    ids, reach = (table.column(c).to_numpy() for c in ("query_id", "reach"))
+    return _row(_GATHERED, dim, group, len(ids), ids.tobytes(), _small(_numbers(table.column("vec"), dim)), reach.tobytes())
+
+
+def _dims(rows: DataFrame, size: int, part: int, name: str) -> DataFrame:
+    """Columns ``d, blocks, parts``: blocks of about ``size`` rows of each dimension, and parts of about ``part`` components that they are dealt to."""
+    counts = rows.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("rows"))
+    wide = F.greatest(F.col("d"), F.lit(1))
+    blocks = F.ceil(F.col("rows") / F.least(F.lit(size), F.greatest(F.lit(1), F.floor(F.lit(ROOM) / wide)))).cast("long")
+    parts = F.least(blocks, F.ceil(F.col("rows") * wide / F.lit(part)).cast("long"))
+    return written(counts.select("d", blocks.alias("blocks"), parts.alias("parts")), name)
+
 
+def _dealt(rows: DataFrame, dims: DataFrame, key: Column, part: str) -> DataFrame:
+    """The rows with their dimension, block and part."""
+    met = rows.withColumn("dim", F.size("vec")).join(F.broadcast(dims), F.col("dim") == F.col("d"))
+    return met.withColumn("block", F.pmod(key, F.col("blocks"))).withColumn(part, F.pmod("block", "parts")).drop("d", "blocks", "parts")
 
-def _against(blocks: DataFrame, queries: DataFrame, n: int) -> DataFrame:
-    """Every block of queries with every block of vectors of its dimension."""
-    numbers = blocks.groupBy("dim").agg(F.max("block").alias("most")).withColumnRenamed("dim", "d")
-    spread = queries.join(numbers, F.col("dim") == F.col("d")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("most"))).alias("b"))
-    spread = spread.drop("d", "most").withColumnRenamed("dim", "qdim").repartition(n, "qblock", "b")
-    met = blocks.join(spread, (F.col("dim") == F.col("qdim")) & (F.col("block") == F.col("b")))
-    return met.drop("qdim", "b").repartition(n, "qblock", "block")
+
+def _copies(name: str):
+    """Each row once for each number from ``first`` to below ``last``, one after another."""
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, last = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("first", "last"))
+            rest = batch.select([c for c in batch.schema.names if c not in ("first", "last")])
+            for i in range(len(batch)):
+                for number in range(first[i], last[i]):
+                    yield pa.RecordBatch.from_arrays([*rest.slice(i, 1).columns, pa.array([number], pa.int64())], [*rest.schema.names, name])
+
+    return copies
+
+
+_NONE = np.iinfo(np.int64).min
+_RESULT = "query_id long, vec_id long, score long"
+
+
+class _Share:
+    """The blocks of a share, in a task's memory."""
+
+    def __init__(self, table: pa.Table):
+        rows = list(_rows(table))
+        self.dim, self.ids = rows[0]["dim"], [r["ids"].view(np.int64) for r in rows]
+        self.exact = [_matrix(r["exact"], r["n"], self.dim) for r in rows]
+        self.cells = [r["cells"].reshape(r["n"], self.dim) for r in rows]
+        self.low, self.width = (np.array([r[c].view(np.int64) for r in rows], dtype=np.float64) for c in ("low", "width"))
+        self.runs = max(-(-len(x) // _RUN) for x in self.ids)
+
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What to add to the products of queries and cells in each block, for the least and the greatest possible score.
+
+        The products are taken in floating-point numbers of 32 bits, these sums in 64 bits; both are wider than that by what rounding can be.
+        """
+        size, up = np.abs(queries), np.maximum(queries, 0)
+        middle = queries @ (self.low + CELLS // 2 * self.width).T
+        most, least = middle + up @ (self.width - 1).T, middle - (size - up) @ (self.width - 1).T
+        slack = (self.dim + 4) * (2.0**-23 * (size @ (CELLS // 2 * self.width).T) + 2.0**-51 * (size @ (np.abs(self.low) + CELLS * self.width).T))
+        return least - slack, most + slack
+
+
+def _ranks(query: np.ndarray) -> np.ndarray:
+    """How many of the same query come before each place; queries lie together."""
+    return np.arange(len(query)) - np.searchsorted(query, query)
+
+
+class _Best:
+    """The k best rows so far of each query of a slice, in the order (score, least id)."""
+
+    def __init__(self, k: int, reach: np.ndarray):
+        self.k, self.reach, self.rows, self.more, self.waiting = k, reach.copy(), np.zeros((3, 0), dtype=np.int64), [], 0
+
+    def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray, now: bool) -> None:
+        real = scores >= self.reach[query]
+        self.more.append(np.array([query[real], ids[real], scores[real]], dtype=np.int64))
+        self.waiting += self.more[-1].shape[1]
+        if now or 2 * self.waiting >= self.k * len(self.reach):
+            self.settle()
+
+    def settle(self) -> None:
+        rows = np.concatenate([self.rows, *self.more], axis=1)
+        query, ids, scores = rows = rows[:, np.lexsort((rows[1], -rows[2], rows[0]))]
+        place = _ranks(query)
+        last = place == self.k - 1
+        self.reach[query[last]] = np.maximum(self.reach[query[last]], scores[last])
+        self.rows, self.more, self.waiting = rows[:, place < self.k], [], 0
+
+
+def _visit(best: _Best, queries: np.ndarray, ids: np.ndarray, exact: np.ndarray, query: np.ndarray, row: np.ndarray, bound: np.ndarray) -> None:
+    """Exact scores of candidates, in the order of their bounds, a few of each query at a time until no bound that is left reaches its kth best."""
+    order = np.lexsort((-bound, query))
+    query, row, bound = query[order], row[order], bound[order]
+    rank = _ranks(query)
+    rounds = -(-int(rank.max() + 1) // READ)
+    for at in range(rounds):
+        near = np.flatnonzero((rank // READ == at) & (bound >= best.reach[query])) if rounds > 1 else np.arange(len(query))
+        if not len(near):
+            break
+        step = max(1, ROOM // 2 // max(1, queries.shape[1]))
+        parts = (near[i : i + step] for i in range(0, len(near), step))
+        scores = np.concatenate([np.einsum("ij,ij->i", queries[query[p]], exact[row[p]].astype(np.int64)) for p in parts])
+        best.add(query[near], ids[row[near]], scores, at < rounds - 1)
+
+
+def _slice(share: _Share, qids: np.ndarray, queries: np.ndarray, reach: np.ndarray, k: int) -> _Best:
+    """The k best of a share for each query of a slice."""
+    best, n = _Best(k, reach), len(qids)
+    real = queries.astype(np.float64)
+    leasts, mosts = share.bounds(real)
+    space = np.empty((share.runs * _RUN, n), dtype=np.float32)
+    for b, ids in enumerate(share.ids):
+        bounds = space[: -(-len(ids) // _RUN) * _RUN]
+        np.matmul(share.cells[b].astype(np.float32), (real * share.width[b]).astype(np.float32).T, out=bounds[: len(ids)])
+        bounds[len(ids) :] = -np.inf
+        starts, ends = np.searchsorted(ids, qids), np.searchsorted(ids, qids, side="right")
+        for q in np.flatnonzero(ends > starts):
+            bounds[starts[q] : ends[q], q] = -np.inf
+        runs = bounds.reshape(-1, _RUN, n)
+        heads = runs.max(axis=1)
+        if len(heads) >= k and (best.reach == _NONE).any():
+            sure = np.floor(np.partition(heads, len(heads) - k, axis=0)[len(heads) - k] + leasts[:, b])
+            best.reach = np.maximum(best.reach, np.where(np.abs(sure) < 2.0**62, sure, _NONE).astype(np.int64))
+        # as a number of 32 bits that isn't greater; what has no bound is less than each
+        least = best.reach * (1 + np.sign(best.reach) * -(2.0**-51)) - mosts[:, b]
+        limit = np.maximum(np.nextafter(least.astype(np.float32), np.float32(-np.inf)), np.finfo(np.float32).min)
+        run, query = np.nonzero(heads >= limit)
+        if len(run):
+            hopeful = runs[run, :, query]
+            pair, place = np.nonzero(hopeful >= limit[query, None])
+            query = query[pair]
+            bound = hopeful[pair, place] + mosts[query, b]
+            _visit(best, queries, ids, share.exact[b], query, run[pair] * _RUN + place, bound)
+    best.settle()
+    return best
+
+
+def _found(k: int):
+    """Each query's k best of a share."""
+
+    def found(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        out = [np.zeros((3, 0), dtype=np.int64)]
+        if len(queries) and len(vectors):
+            share = _Share(vectors)
+            for row in _rows(queries):
+                qids, reach = (row[c].view(np.int64) for c in ("qids", "reach"))
+                numbers = _matrix(row["queries"], row["n"], share.dim)
+                for part in (slice(at, at + SLICE) for at in range(0, row["n"], SLICE)):
+                    query, ids, scores = _slice(share, qids[part], numbers[part].astype(np.int64), reach[part], k).rows
+                    out.append(np.array([qids[part][query], ids, scores]))
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), np.concatenate(out, axis=1), strict=True)))
+
+    return found
+
+
+def _wave(blocks: DataFrame, queries: DataFrame, shares: DataFrame, groups: DataFrame, span: tuple[int, int], k: int) -> DataFrame:
+    """Every group of queries against those shares of its dimension that belong to a wave, each by a task: at most k rows per query and share."""
+    first, last = (F.ceil(F.col("parts") / x).cast("long") if x else F.lit(0).cast("long") for x in span)
+    own = F.broadcast(shares.select("d", first.alias("first"), last.alias("last")))
+    some = blocks.join(own, (F.col("dim") == F.col("d")) & (F.col("share") >= F.col("first")) & (F.col("share") < F.col("last"))).drop("d", "first", "last")
+    dealt = some.join(F.broadcast(groups.select("d", F.lit(0).cast("long").alias("first"), F.col("parts").alias("last"))), F.col("dim") == F.col("d")).drop("d")
+    vectors = dealt.mapInArrow(_copies("group"), f"{_PACKED}, group long")
+    asked = queries.join(own, F.col("dim") == F.col("d")).drop("d").mapInArrow(_copies("share"), f"{_GATHERED}, share long")
+    keys = ("dim", "group", "share")
+    return asked.groupBy(*keys).cogroup(vectors.groupBy(*keys)).applyInArrow(_found(k), _RESULT)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
+    return found.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -177,23 +275,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     id.  Only vectors of a query's dimension are its candidates.  Rows with a null id take no part.  Rows that repeat an
     id are candidates each; of queries that repeat an id, the least vector is the query.
     """
+    bound_batches(vectors.sparkSession)
     vectors = written(vectors.where("vec_id IS NOT NULL"), "vectors")
-    n = partitions(vectors.sparkSession)
-    blocks = written(packed(vectors, BLOCK), "blocks")
-    queries = vectors.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    total = max(1, -(-queries.count() // QUERIES))
-    queries = queries.select(
-        F.size("vec").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(total)).alias("block"), F.col("vec_id").alias("query_id"), "vec"
-    )
-    queries = written(queries, "queries")
-    kind = "dim int, qblock long, qids binary, queries binary, reach binary"
-    first = queries.withColumn("reach", F.lit(_NONE)).groupBy("dim", "block").applyInArrow(_gather, kind)
-    cells = blocks.drop("exact")
-    bounds = _against(cells, first.drop("reach"), n).mapInArrow(_scan(k), "dim int, query_id long, bound long")
-    order = Window.partitionBy("query_id").orderBy(F.col("bound").desc())
-    reached = bounds.withColumn("at", F.row_number().over(order)).where(F.col("at") == k).select(F.col("query_id").alias("q"), F.col("bound").alias("reach"))
-    second = queries.join(written(reached, "reached"), F.col("query_id") == F.col("q"), "left").withColumn("reach", F.coalesce("reach", F.lit(_NONE)))
-    second = second.select("dim", "block", "query_id", "vec", "reach").groupBy("dim", "block").applyInArrow(_gather, kind)
-    found = _against(blocks, second, n).mapInArrow(_visit(k), "query_id long, vec_id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
-    return found.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    shares = _dims(vectors, BLOCK, SHARE, "shares")
+    dealt = _dealt(vectors, shares, F.xxhash64("vec_id", "vec"), "share")
+    blocks = written(dealt.groupBy("dim", "share", "block").applyInArrow(_pack, _PACKED), "blocks")
+    queries = written(vectors.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec")), "queries")
+    groups = _dims(queries, QUERIES, GROUP, "groups")
+    queries = _dealt(queries, groups, F.xxhash64("vec_id"), "group").withColumnRenamed("vec_id", "query_id")
+    most, spans = shares.agg(F.max("parts")).first()[0] or 1, [1]
+    while spans[0] * WAVE <= most:
+        spans.insert(0, spans[0] * WAVE)
+    best, reached = None, queries.withColumn("reach", F.lit(_NONE))
+    for span in zip([0, *spans], spans, strict=False):
+        # written, so that no task holds two Python workers, one that gathers and one that copies
+        asked = written(reached.groupBy("dim", "group", "block").applyInArrow(_gather, _GATHERED), "asked")
+        found = _wave(blocks, asked, shares, groups, span, k)
+        best = _ranked(found if best is None else found.unionByName(best.drop("rank")), k)
+        if span[1] > 1:
+            best = written(best, "best")
+            kth = best.where(F.col("rank") == k).select(F.col("query_id").alias("q"), F.col("score").alias("reach"))
+            reached = queries.join(kth, F.col("query_id") == F.col("q"), "left").drop("q").withColumn("reach", F.coalesce("reach", F.lit(_NONE)))
+    return best

@@ -1,4 +1,8 @@
+from itertools import islice
+
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import topk
@@ -57,3 +61,47 @@ def test_a_block_of_more_queries_than_a_slice(spark):
     df = spark.createDataFrame(rows, "vec_id long, vec array<long>").repartition(2)
     got = topk.top_k(df, F.lit(True), 4).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 4, lambda i: True)
+
+
+def test_shares_groups_and_waves(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("QUERIES", 12), ("SHARE", 100), ("GROUP", 100), ("WAVE", 4)):
+        monkeypatch.setattr(topk, name, value)
+    draw = np.random.default_rng(3)
+    rows = [(k, draw.integers(-9, 9, 6).tolist()) for k in range(280)]
+    rows += [(k, rows[40][1]) for k in range(300, 340)] + [(7, [1, 2, 3, 4, 5, 6]), (10, [0] * 6), (None, [9] * 6), (510, [5]), (511, [-3])]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>").repartition(3)
+    found = topk.top_k(df, F.col("vec_id") % 10 == 0, 5)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 5, lambda i: i % 10 == 0)
+    # rows that come from one by an explode are all in memory at once
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_leave_one_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"own": [b"x" * 100, b"y"], "first": [3, 5], "last": [10**15, 5]})
+    some = list(islice(topk._copies("share")(iter([batch])), 4))
+    assert [b.to_pylist() for b in some] == [[{"own": b"x" * 100, "share": k}] for k in range(3, 7)]
+
+
+def share_of(rows, blocks):
+    """Vectors as a share of several blocks."""
+    parts = [rows[i::blocks] for i in range(blocks)]
+    schema = {"dim": pa.int32(), "share": pa.int64(), "vec_id": pa.int64(), "vec": pa.list_(pa.int64())}
+    return pa.concat_tables(topk._pack(pa.table({n: pa.array(x, t) for (n, t), x in zip(schema.items(), ([len(part[0][1])] * len(part), [0] * len(part), *zip(*part, strict=True)), strict=True)})) for part in parts)
+
+
+@pytest.mark.parametrize(("top", "copies", "k"), [(9, 0, 5), (9, 200, 5), (700, 50, 10), (2**20, 0, 3), (2**29, 30, 3), (700, 0, 120)])
+def test_a_share_gives_the_best_of_its_rows(monkeypatch, top, copies, k):
+    monkeypatch.setattr(topk, "SLICE", 16)
+    monkeypatch.setattr(topk, "READ", 4)
+    draw = np.random.default_rng(top % 1000 + k)
+    rows = [(i, draw.integers(-top, top, 7).tolist()) for i in range(900)]
+    rows += [(900 + i, rows[30][1]) for i in range(copies)]
+    ask = rows[:900:20]
+    best = brute(rows, k, lambda i: i % 20 == 0 and i < 900)
+    kth = {q: score for q, at, _, score in best if at == k}
+    vectors = share_of(rows, 3)
+    # without a score to reach, with one that is reached, and with the kth best of all
+    for reach in ([topk._NONE] * len(ask), [kth[i] - 5 if n % 2 else topk._NONE for n, (i, _) in enumerate(ask)], [kth[i] for i, _ in ask]):
+        columns = {"dim": pa.array([7] * len(ask), pa.int32()), "group": pa.array([0] * len(ask), pa.int64()), "query_id": [i for i, _ in ask], "vec": [v for _, v in ask], "reach": reach}
+        found = topk._found(k)(topk._gather(pa.table(columns)), vectors)
+        assert sorted(zip(*(found.column(c).to_pylist() for c in ("query_id", "vec_id", "score")), strict=True)) == sorted((q, i, s) for q, _, i, s in best)
